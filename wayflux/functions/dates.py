@@ -38,6 +38,6 @@ def week_end(d: Column) -> Column:
 
 
 def window_edge(d: Column, start: Column, last: Column, days: int) -> Column:
-    """Right edge of the fixed window of `days` days a date falls in, capped at the last date."""
-    k = F.ceil((F.datediff(d, start) + 1) / days)
-    return F.least(F.date_add(start, (k * days - 1).cast("int")), last)
+    """First of the edges start, start + days, … that is not before a date, capped at the last date."""
+    k = F.ceil(F.datediff(d, start) / days)
+    return F.least(F.date_add(start, (k * days).cast("int")), last)

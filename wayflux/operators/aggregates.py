@@ -209,21 +209,21 @@ def factor_average(ranges: DataFrame, areas: DataFrame, mapping: DataFrame) -> D
     )
 
 
-def quantile_class(df: DataFrame, col: str, cuts=(0.3, 0.6, 0.9), labels=("low", "medium", "high", "very high")) -> DataFrame:
-    """Class of each row by quantiles of the whole column."""
-    q = df.agg(F.percentile(col, F.array(*[F.lit(float(c)) for c in cuts])).alias("_q"))
-    out = F.lit(labels[-1])
-    for i in reversed(range(len(cuts))):
-        out = F.when(F.col(col) <= F.col("_q")[i], F.lit(labels[i])).otherwise(out)
-    return df.crossJoin(q).withColumn("quantile_class", out).drop("_q")  # one-row side
+def quantile_class(df: DataFrame, col: str, unit: float = 1000.0, cuts=(0.3, 0.6, 0.9)) -> DataFrame:
+    """Class 0..3 of each row by quantiles of the column counted in rounded units."""
+    units = F.col(col) / unit
+    q = exact_percentiles(df.select(F.bround(units, 0).alias("_u")), [], "_u", list(cuts), "_q")
+    low, mid, high = (F.col("_q")[i] for i in range(3))
+    rank = F.when(units > high, 3).when(units >= mid, 2).when(units >= low, 1).otherwise(0)
+    return df.crossJoin(q).withColumn("quantile_class", rank.cast("bigint")).drop("_q")  # one-row side
 
 
 def scaled_incidence(df: DataFrame, cases: str, people: str) -> DataFrame:
-    """Incidence per head, times the power of ten that lifts the largest to at least 1."""
-    inc = df.withColumn("incidence", ratio(F.col(cases), F.col(people)))
+    """Positive incidence per 100 heads, times the power of ten that lifts the largest to at least 1."""
+    inc = df.withColumn("incidence", 100 * ratio(F.col(cases), F.col(people))).filter("incidence > 0")
     power = F.greatest(F.ceil(-F.log10(F.max("incidence"))), F.lit(0)).cast("int")
-    scale = inc.agg(F.pow(F.lit(10.0), power).alias("scale"))
-    return inc.crossJoin(scale).withColumn("scaled_incidence", F.col("incidence") * F.col("scale"))  # one-row side
+    scale = inc.agg((100 * F.pow(F.lit(10.0), power)).alias("per_capita"))
+    return inc.crossJoin(scale).withColumn("incidence", F.col("incidence") * F.col("per_capita") / 100)  # one-row side
 
 
 def describe_column(df: DataFrame, col: str, keys: list[str] | None = None) -> DataFrame:
