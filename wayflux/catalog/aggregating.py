@@ -52,7 +52,7 @@ def _(t):
     scheme = [Rule("attr_a_mix", "attr_dist_mix", "", "sep=|"), Rule("attr_b_mix", "attr_dist_mix_weighted", "w", "sep=|")]
     out = rules.agglomerate(df, scheme, ["label"], ["attr_a_mix", "attr_b_mix"])
     both = F.arrays_zip(F.col("attr_a_mix").alias("a"), F.col("attr_b_mix").alias("b"))
-    return out.select("label", F.posexplode(both).alias("i", "z")).select("label", "i", F.col("z")["attr_a_mix"].alias("mixed"), F.col("z")["attr_b_mix"].alias("mixed_weighted"))
+    return out.select("label", F.posexplode(both).alias("i", "z")).select("label", "i", F.col("z")["a"].alias("mixed"), F.col("z")["b"].alias("mixed_weighted"))
 
 
 @query("delay_curves", covers="D8")
@@ -124,9 +124,9 @@ def _(t):
     return aggregates.weekly_rates(t.cases.select("poly_id", "date_time", "num_cases", "num_diseased"), t.polygons)
 
 
-@query("contacts_by_place", "SELECT round(lat, 2) AS lat, round(lon, 2) AS lon, count(*) AS total_contacts FROM good_contacts GROUP BY 1, 2", r="lat lon", covers="D20 D19")
+@query("contacts_by_place", "SELECT lat, lon, count(*) AS total_contacts FROM good_contacts GROUP BY 1, 2", r="lat lon", covers="D20 D19")
 def _(t):
-    return aggregates.contacts_by_place(t.good_contacts, 2)
+    return aggregates.contacts_by_place(t.good_contacts, 4)
 
 
 @query("mean_daily_counts", "SELECT event_type, avg(n) AS mean_daily FROM (SELECT event_type, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1", r="mean_daily", covers="D21")

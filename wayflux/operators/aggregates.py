@@ -334,6 +334,6 @@ def highest_density(df: DataFrame, keys: list[str], col: str, tie: str, mass: fl
         *keys, col, F.col("rank").alias("_i"), F.floor(F.col("n") * mass).alias("_k")
     )
     ends = ranked.select(*keys, (F.col("_i") - F.col("_k")).alias("_i"), F.col(col).alias("_hi"))
-    spans = ranked.join(ends, [*keys, "_i"]).withColumn("_span", F.col("_hi") - F.col(col))
+    spans = ranked.join(ends, [*keys, "_i"]).withColumn("_span", F.round(F.col("_hi") - F.col(col), 9))
     best = F.min(F.struct("_span", F.col(col).alias("low"), F.col("_hi").alias("high")))
     return spans.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.low", "b.high")
