@@ -97,6 +97,10 @@ CANON = {
     "edges": """
         SELECT date_time, date_diff('day', c0, date_time) AS day, start_poly_id AS start_id, end_poly_id AS end_id, movement
         FROM movement, span WHERE start_poly_id <> end_poly_id AND date_time BETWEEN a AND b""",
+    "ccases": """
+        SELECT community_id AS poly_id, date_time, sum(num_cases) AS num_cases FROM cases JOIN community_map USING (poly_id) GROUP BY 1, 2""",
+    "crange": """
+        SELECT ds AS date_time, external_polygon_id AS poly_id, change AS movement_change FROM movement_range""",
     "dense_cases": """
         SELECT d.date_time, poly_id, coalesce(num_cases, 0) AS num_cases
         FROM (SELECT CAST(unnest(generate_series(min(date_time), max(date_time), INTERVAL 1 DAY)) AS DATE) AS date_time FROM cases) d
@@ -186,6 +190,18 @@ class Tables:
         r = self.movement_range.join(m, "external_polygon_id")
         return r.select(F.col("ds").alias("date_time"), "poly_id", F.col("all_day_bing_tiles_visited_relative_change").alias("movement_change"))
 
+    @cached_property
+    def community_cases(self) -> DataFrame:
+        """Cases per community: the level at which reproductive numbers are estimated."""
+        m = self.community_map.select("poly_id", "community_id")
+        c = self.cases.join(m, "poly_id").groupBy(F.col("community_id").alias("poly_id"), "date_time")
+        return c.agg(F.sum("num_cases").alias("num_cases"))
+
+    @cached_property
+    def community_range(self) -> DataFrame:
+        r = self.movement_range
+        return r.select(F.col("ds").alias("date_time"), F.col("external_polygon_id").alias("poly_id"), F.col("all_day_bing_tiles_visited_relative_change").alias("movement_change"))
+
     @cached_property
     def graph(self):
         from wayflux.plans import graphs

@@ -9,12 +9,12 @@ from wayflux.plans import epi, series
 from wayflux.session import cut_lineage
 
 VEC = """mean AS (SELECT i, avg(p) AS m FROM delays GROUP BY 1),
-    vec AS (SELECT poly_id, i, CASE WHEN i = 0 THEN 0 ELSE p END AS p FROM delays UNION ALL SELECT poly_id, i, m FROM polygons, mean WHERE poly_id NOT IN (SELECT poly_id FROM delays)),
-    onset AS (SELECT poly_id, date_time - CAST(i AS INTEGER) AS date_time, round_even(sum(num_cases * p), 0) AS num_cases FROM cases JOIN vec USING (poly_id) GROUP BY 1, 2 HAVING sum(num_cases * p) >= 1)"""
+    vec AS (SELECT poly_id, i, CASE WHEN i = 0 THEN 0 ELSE p END AS p FROM delays WHERE poly_id IN (SELECT poly_id FROM ccases) UNION ALL SELECT poly_id, i, m FROM (SELECT DISTINCT poly_id FROM ccases), mean WHERE poly_id NOT IN (SELECT poly_id FROM delays)),
+    onset AS (SELECT poly_id, date_time - CAST(i AS INTEGER) AS date_time, round_even(sum(num_cases * p), 0) AS num_cases FROM ccases JOIN vec USING (poly_id) GROUP BY 1, 2 HAVING sum(num_cases * p) >= 1)"""
 
 
 def onset(t):
-    return epi.confirmed_to_onset(t.cases.select("poly_id", "date_time", "num_cases"), epi.delay_for(t.cases, t.delays))
+    return epi.confirmed_to_onset(t.community_cases, epi.delay_for(t.community_cases, t.delays))
 
 
 @query("onset_counts", f"WITH {VEC} SELECT * FROM onset", d="date_time", covers="K1 D9 H8")
@@ -27,13 +27,13 @@ def _(t):
     SELECT o.poly_id, date_time, num_cases, num_cases / nullif(CASE WHEN k.c IS NULL THEN 1 ELSE k.c END, 0) AS num_cases_adjusted
     FROM (SELECT *, row_number() OVER (PARTITION BY poly_id ORDER BY date_time DESC) - 1 AS b FROM onset) o LEFT JOIN known k ON k.poly_id = o.poly_id AND k.i = b""", d="date_time", r="num_cases_adjusted", covers="K2")
 def _(t):
-    vec = epi.delay_for(t.cases, t.delays)
+    vec = epi.delay_for(t.community_cases, t.delays)
     return epi.adjust_right_censoring(onset(t), vec)
 
 
 @query("rt_by_area", covers="K3 K4 D40 H9")
 def _(t):
-    return epi.rt_by_area(t.cases, t.delays)
+    return epi.rt_by_area(t.community_cases, t.delays)
 
 
 @query("rt_overall", covers="K4 K2 D32")
@@ -75,21 +75,21 @@ def _(t):
 
 
 @query("threshold_inputs", f"""
-    WITH {VEC}, sp AS (SELECT poly_id, greatest(a0, b0) AS a, least(a1, b1) AS b FROM (SELECT poly_id, min(date_time) AS a0, max(date_time) AS a1 FROM onset GROUP BY 1) JOIN (SELECT poly_id, min(date_time) AS b0, max(date_time) AS b1 FROM area_range GROUP BY 1) USING (poly_id)),
+    WITH {VEC}, sp AS (SELECT poly_id, greatest(a0, b0) AS a, least(a1, b1) AS b FROM (SELECT poly_id, min(date_time) AS a0, max(date_time) AS a1 FROM onset GROUP BY 1) JOIN (SELECT poly_id, min(date_time) AS b0, max(date_time) AS b1 FROM crange GROUP BY 1) USING (poly_id)),
          g AS (SELECT poly_id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date_time FROM sp),
-         x AS (SELECT g.poly_id, g.date_time, coalesce(movement_change, 0) AS movement_change, coalesce(num_cases, 0) AS num_cases FROM g LEFT JOIN area_range USING (poly_id, date_time) LEFT JOIN onset USING (poly_id, date_time)),
+         x AS (SELECT g.poly_id, g.date_time, coalesce(movement_change, 0) AS movement_change, coalesce(num_cases, 0) AS num_cases FROM g LEFT JOIN crange USING (poly_id, date_time) LEFT JOIN onset USING (poly_id, date_time)),
          y AS (SELECT *, CASE WHEN count(*) OVER w = 7 THEN avg(movement_change) OVER w ELSE 0 END AS m FROM x WINDOW w AS (PARTITION BY poly_id ORDER BY date_time ROWS 6 PRECEDING)),
          z AS (SELECT *, CASE WHEN m = 0 THEN movement_change ELSE m END AS one FROM y),
          u AS (SELECT *, CASE WHEN count(*) OVER w = 7 THEN avg(one) OVER w ELSE 0 END AS m2 FROM z WINDOW w AS (PARTITION BY poly_id ORDER BY date_time ROWS 6 PRECEDING)),
          v AS (SELECT *, CASE WHEN m2 = 0 THEN movement_change ELSE m2 END AS two FROM u)
     SELECT poly_id, date_time, num_cases, (two - min(two) OVER p) / (max(two) OVER p - min(two) OVER p) AS mobility FROM v WINDOW p AS (PARTITION BY poly_id)""", d="date_time", r="mobility", covers="K7 E6 C20")
 def _(t):
-    return epi.threshold_inputs(t.cases, t.area_range, t.delays).select("poly_id", "date_time", "num_cases", "mobility")
+    return epi.threshold_inputs(t.community_cases, t.community_range, t.delays).select("poly_id", "date_time", "num_cases", "mobility")
 
 
 @query("mobility_thresholds", covers="K7")
 def _(t):
-    return epi.mobility_thresholds(epi.threshold_inputs(t.cases, t.area_range, t.delays))
+    return epi.mobility_thresholds(epi.threshold_inputs(t.community_cases, t.community_range, t.delays))
 
 
 def _series_sql(daily: str, lag: int, accum: bool) -> str:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from wayflux.catalog.base import query
 from wayflux.operators import aggregates, rules
 from wayflux.plans import agglomerate, graphs, places, shape
+from wayflux.session import cut_lineage
 
 ROUNDS = 20
 
@@ -55,7 +56,8 @@ def scored(t):
 
 
 def hourly(t):
-    return places.hourly_places(scored(t))
+    """The historic table of places: written once, read by every list made from it."""
+    return cut_lineage(places.hourly_places(cut_lineage(scored(t))))
 
 
 @query("contact_node_weights", f"WITH {RANK_CTE} SELECT date, hour, identifier, weight FROM w", d="date", r="weight", covers="H7 C14 K18")
@@ -87,8 +89,8 @@ def _(t):
 
 
 @query("rolling_top_places", f"""
-    WITH {SCORED}, a AS (SELECT min(date) AS d0 FROM spots), w AS (SELECT d0 + CAST(date_diff('day', d0, date) // 16 * 16 AS INTEGER) AS window_start, lat, lon, sum(total) AS total FROM spots, a GROUP BY 1, 2, 3)
-    SELECT window_start, total FROM w QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY total DESC, lat, lon) <= 10""", d="window_start", covers="K20")
+    WITH {SCORED}, a AS (SELECT min(date) AS d0 FROM spots), win AS (SELECT d0 + CAST(date_diff('day', d0, date) // 16 * 16 AS INTEGER) AS window_start, lat, lon, sum(total) AS total FROM spots, a GROUP BY 1, 2, 3)
+    SELECT window_start, total FROM win QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY total DESC, lat, lon) <= 10""", d="window_start", covers="K20")
 def _(t):
     return places.rolling_top_places(hourly(t)).select("window_start", "total")
 
@@ -169,8 +171,6 @@ def _(t):
 
 
 def skeleton(t):
-    from wayflux.session import cut_lineage
-
     nodes, edges, where = event_graph(t)
     nodes = cut_lineage(nodes)
     dist = cut_lineage(shape.day_distances(nodes, where))
@@ -185,6 +185,4 @@ def _(t):
 
 @query("mapper_links", covers="J9")
 def _(t):
-    from wayflux.session import cut_lineage
-
     return shape.mapper_edges(cut_lineage(skeleton(t)))

@@ -1 +1,94 @@
-"""Registered queries."""
+"""Streaming jobs run over the tables until nothing is left, read back from their sinks."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from wayflux.catalog.base import query
+from wayflux.catalog.scans import _folder
+from wayflux.streaming import jobs
+
+
+def _fresh(t, name):
+    return f"{_folder(t, name)}-{uuid.uuid4().hex[:8]}"
+
+
+def _flow_source(t):
+    """Flows with slot times, written as a folder of files for the file source."""
+    path = _fresh(t, "flow_files")
+    k = F.col("event_id") % 25
+    src = t.raw("events").select(
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("date_time"), k.cast("string").alias("start_poly_id"),
+        F.pmod(F.col("user_id"), F.lit(25)).cast("string").alias("end_poly_id"), F.col("value").alias("movement"), "event_id",
+    )
+    src.write.parquet(path)
+    return path, src
+
+
+@query("streamed_tiles", "SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S') AS date_time, count(*) AS n, sum(start_movement_lon) AS lon FROM tiles GROUP BY 1", r="lon", covers="L1")
+def _(t):
+    path, sink = _fresh(t, "tile_files"), _fresh(t, "tile_sink")
+    t.tiles.write.option("header", True).csv(path)
+    jobs.run_available(jobs.located_tiles(jobs.stream_tiles(t.spark, path, "geometry STRING, date_time TIMESTAMP_NTZ, n_crisis DOUBLE")), sink + "/out", sink + "/state")
+    out = t.spark.read.parquet(sink + "/out")
+    return out.groupBy("date_time").agg(F.count("*").alias("n"), F.sum("start_movement_lon").alias("lon"))
+
+
+@query("streamed_daily_flows", """
+    WITH d AS (SELECT CAST(date_trunc('hour', ts) + INTERVAL 12 HOUR AS DATE) AS date_time, CAST(event_id % 25 AS VARCHAR) AS start_poly_id, CAST(user_id % 25 AS VARCHAR) AS end_poly_id, sum(value) AS movement FROM events GROUP BY 1, 2, 3)
+    SELECT * FROM d WHERE date_time + INTERVAL 12 HOUR <= (SELECT max(date_trunc('hour', ts)) - INTERVAL 2 DAY FROM events)""", d="date_time", r="movement", covers="L2")
+def _(t):
+    """Append mode: the days the watermark has passed."""
+    path, src = _flow_source(t)
+    sink = _fresh(t, "flow_sink")
+    jobs.run_available(jobs.daily_flow_totals(jobs.stream_tiles(t.spark, path, src.schema, "parquet")), sink + "/out", sink + "/state")
+    return t.spark.read.parquet(sink + "/out")
+
+
+@query("batch_daily_flows", """
+    SELECT CAST(date_trunc('hour', ts) + INTERVAL 12 HOUR AS DATE) AS date_time, CAST(event_id % 25 AS VARCHAR) AS start_poly_id, CAST(user_id % 25 AS VARCHAR) AS end_poly_id, sum(value) AS movement FROM events GROUP BY 1, 2, 3""", d="date_time", r="movement", covers="L2 H4")
+def _(t):
+    return jobs.batch_daily_flow_totals(_flow_source(t)[1])
+
+
+@query("streamed_without_repeats", "SELECT event_id, value AS movement FROM events", r="movement", covers="L4")
+def _(t):
+    """Every tile arrives twice."""
+    path, src = _flow_source(t)
+    src.write.mode("append").parquet(path)
+    sink = _fresh(t, "once_sink")
+    stream = jobs.without_repeats(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 1000), ["event_id"], late="60 days")
+    jobs.run_available(stream, sink + "/out", sink + "/state")
+    return t.spark.read.parquet(sink + "/out").select("event_id", "movement")
+
+
+@query("streamed_day_partitions", "SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY 1, 2", d="date", covers="L3 A18")
+def _(t):
+    path, sink = _fresh(t, "day_files"), _fresh(t, "day_sink")
+    daily = t.raw("events").groupBy(F.col("ts").cast("date").alias("date"), "event_type").agg(F.count("*").alias("n"))
+    daily.repartition("date").write.parquet(path)
+    q = (
+        jobs.stream_tiles(t.spark, path, daily.schema, "parquet").writeStream.foreachBatch(jobs.upsert_days(sink + "/out"))
+        .option("checkpointLocation", sink + "/state").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return t.spark.read.parquet(sink + "/out").select("date", "event_type", "n")
+
+
+@query("streamed_first_cases", "SELECT CAST(user_id AS VARCHAR) AS poly_id, CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS first_date FROM events WHERE value > 20 GROUP BY 1", covers="L5 D15")
+def _(t):
+    path, sink = _fresh(t, "case_files"), _fresh(t, "case_sink")
+    src = t.raw("events").groupBy(F.col("user_id").cast("string").alias("poly_id"), F.date_format("ts", "yyyy-MM-dd").alias("date_time")).agg(
+        F.sum(F.when(F.col("value") > 20, 1.0).otherwise(0.0)).alias("num_cases")
+    )
+    src.write.parquet(path)
+    prev = t.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = jobs.first_case_alerts(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 100_000))
+        write = lambda batch, epoch: batch.write.mode("append").parquet(sink + "/out")
+        q = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", sink + "/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
+    return t.spark.read.parquet(sink + "/out")

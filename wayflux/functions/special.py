@@ -94,24 +94,58 @@ def gamma_cdf(x: np.ndarray, shape: float, scale: float) -> np.ndarray:
     return out
 
 
+def _lower_gamma(x: np.ndarray, a: np.ndarray, lg: np.ndarray) -> np.ndarray:
+    """Regularised lower incomplete gamma for arrays of points and shapes."""
+    out = np.empty_like(x)
+    low = x < a + 1
+    if low.any():
+        z, s = x[low], a[low]
+        term = 1 / s
+        total, n = term.copy(), s.copy()
+        for _ in range(int(20 + 12 * np.sqrt(s.max()))):
+            n += 1
+            term = term * z / n
+            total += term
+            if np.all(term <= total * 1e-14):
+                break
+        out[low] = total * np.exp(s * np.log(np.maximum(z, 1e-300)) - z - lg[low])
+    high = ~low
+    if high.any():
+        z, s = x[high], a[high]
+        b = z + 1 - s
+        c, d = np.full_like(z, 1e300), 1 / b
+        h = d.copy()
+        for i in range(1, int(50 + 12 * np.sqrt(s.max()))):
+            an = -i * (i - s)
+            b = b + 2
+            d = an * d + b
+            d = 1 / np.where(np.abs(d) < 1e-300, 1e-300, d)
+            c = b + an / c
+            c = np.where(np.abs(c) < 1e-300, 1e-300, c)
+            h *= d * c
+            if np.all(np.abs(d * c - 1) < 1e-14):
+                break
+        out[high] = 1 - np.exp(s * np.log(z) - z - lg[high]) * h
+    return out
+
+
 def gamma_quantile(p: float, shape: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    """Inverse of gamma_cdf by bisection, one value per (shape, scale)."""
+    """Inverse of the gamma distribution function, one value per (shape, scale).
+
+    Bisection on all distinct shapes at once, bracketed from the mean and deviation.
+    """
+    ok = np.isfinite(shape) & np.isfinite(scale)
     out = np.full(len(shape), np.nan)
-    for i, (a, b) in enumerate(zip(shape, scale)):
-        if not (np.isfinite(a) and np.isfinite(b)):
-            continue
-        lo, hi = 0.0, max(a, 1.0)
-        while gamma_cdf(np.array([hi]), a, 1.0)[0] < p:
-            hi *= 2
-        for _ in range(200):
-            mid = (lo + hi) / 2
-            if gamma_cdf(np.array([mid]), a, 1.0)[0] < p:
-                lo = mid
-            else:
-                hi = mid
-            if hi - lo <= 1e-12 * hi:
-                break
-        out[i] = (lo + hi) / 2 * b
+    if not ok.any():
+        return out
+    a, back = np.unique(shape[ok], return_inverse=True)
+    lg = np.array([math.lgamma(v) for v in a])
+    lo, hi = np.maximum(a - 12 * np.sqrt(a), 0.0), a + 12 * np.sqrt(a) + 20
+    for _ in range(52):
+        mid = (lo + hi) / 2
+        below = _lower_gamma(mid, a, lg) < p
+        lo, hi = np.where(below, mid, lo), np.where(below, hi, mid)
+    out[ok] = ((lo + hi) / 2)[back] * scale[ok]
     return out
 
 

@@ -122,6 +122,10 @@ def personalised_rank(
     arcs = cut_lineage(_arcs(edges, keys, rows_per_task))
     linked = arcs.groupBy(*keys, F.col("src").alias("identifier")).agg(F.max("salts").alias("salts"))
     base = cut_lineage(base.join(linked, [*keys, "identifier"], "left"))
+    # kept in the layout the rounds join on, so that only ranks are shuffled in a round
+    arcs = arcs.repartition(*keys, "src", "salt").persist()
+    base = base.repartition(*keys, "identifier").persist()
+    any_loose = not base.filter("salts is null").isEmpty()
     state = base.withColumn("rank", F.col("reset"))
     for i in range(rounds):
         spread = state.filter("salts is not null").select(
@@ -132,17 +136,13 @@ def personalised_rank(
             .groupBy(*keys, F.col("dst").alias("identifier"))
             .agg(F.sum(F.col("rank") * F.col("share")).alias("inflow"))
         )
-        loose = state.filter("salts is null").groupBy(*keys).agg(F.sum("rank").alias("loose"))
-        state = (
-            base.join(inflow, [*keys, "identifier"], "left")
-            .join(loose, keys, "left")
-            .withColumn(
-                "rank",
-                (1 - damping) * F.col("reset")
-                + damping * (F.coalesce("inflow", F.lit(0.0)) + F.coalesce("loose", F.lit(0.0)) * F.col("reset")),
-            )
-            .drop("inflow", "loose")
-        )
+        gained = F.coalesce("inflow", F.lit(0.0))
+        nxt = base.join(inflow, [*keys, "identifier"], "left")
+        if any_loose:
+            loose = state.filter("salts is null").groupBy(*keys).agg(F.sum("rank").alias("loose"))
+            nxt = nxt.join(loose, keys, "left")
+            gained = gained + F.coalesce("loose", F.lit(0.0)) * F.col("reset")
+        state = nxt.select(*base.columns, ((1 - damping) * F.col("reset") + damping * gained).alias("rank"))
         if (i + 1) % 5 == 0:
             state = cut_lineage(state)
     return state.select(*keys, "identifier", F.col("rank").alias("centrality"))
