@@ -91,7 +91,7 @@ def _change_part(kind: str, early: str) -> str:
     both = f"(coalesce(has_{early}, false) AND coalesce(has_recent, false))"
     d = lambda c: f"CASE WHEN {both} THEN coalesce(({c}_recent - {c}_{early}) / nullif({c}_{early}, 0), 0) ELSE 0 END"
     bad = f"({both} AND ((i_{early} = 0 AND i_recent <> 0) OR (e_{early} = 0 AND e_recent <> 0)))"
-    return f"SELECT poly_id, '{kind}' AS kind, {d('i')} AS delta_internal_movement, {d('e')} AS delta_external_movement FROM w WHERE NOT {bad}"
+    return f"SELECT poly_id, '{kind}' AS kind, {d('i')} AS delta_internal_movement, {d('e')} AS delta_external_movement FROM w WHERE NOT {bad} AND (has_{early} OR has_recent)"
 
 
 @query("change_maps", f"{CHANGE} {_change_part('recent', 'before')} UNION ALL {_change_part('historic', 'base')}", r="delta_internal_movement delta_external_movement", covers="K16 E18 B21")
@@ -170,9 +170,9 @@ def _(t):
     return ranking.numbered(m, [F.col("date_time"), F.col("measure")])
 
 
-ATTR = """at AS (SELECT event_type AS attribute_name, CAST(c_nationkey AS VARCHAR) AS location_id, CAST(ts AS DATE) AS date, sum(CAST(round(value * 100) AS BIGINT)) / 100e0 AS attribute_value FROM events JOIN customer ON user_id = c_custkey GROUP BY 1, 2, 3)"""
-LATEST = f"""WITH {ATTR} SELECT at.location_id, poly_name AS name, date, attribute_name, attribute_value FROM at JOIN polygons ON poly_id = at.location_id
-    WHERE attribute_name = 'click' AND poly_name LIKE '%-A%' AND date = (SELECT max(date) FROM at WHERE attribute_name = 'click')"""
+ATTR = """av AS (SELECT event_type AS attribute_name, CAST(c_nationkey AS VARCHAR) AS location_id, CAST(ts AS DATE) AS date, sum(CAST(round(value * 100) AS BIGINT)) / 100e0 AS attribute_value FROM events JOIN customer ON user_id = c_custkey GROUP BY 1, 2, 3)"""
+LATEST = f"""WITH {ATTR} SELECT av.location_id, poly_name AS name, date, attribute_name, attribute_value FROM av JOIN polygons ON poly_id = av.location_id
+    WHERE attribute_name = 'click' AND poly_name LIKE '%-A%' AND date = (SELECT max(date) FROM av WHERE attribute_name = 'click')"""
 
 
 def attributes(t):

@@ -41,3 +41,13 @@ def window_edge(d: Column, start: Column, last: Column, days: int) -> Column:
     """First of the edges start, start + days, … that is not before a date, capped at the last date."""
     k = F.ceil(F.datediff(d, start) / days)
     return F.least(F.date_add(start, (k * days).cast("int")), last)
+
+
+def wall_clock_instant(ts: Column) -> Column:
+    """A local time as the instant with the same clock reading in UTC.
+
+    Event-time windows are laid out in UTC, watermarks need an instant; this keeps both
+    independent of the session's time zone.
+    """
+    seconds = F.unix_date(ts.cast("date")) * F.lit(86400).cast("bigint") + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.timestamp_seconds(seconds)

@@ -174,7 +174,7 @@ def change_windows(flows: DataFrame, base_day: str, days: int = 7) -> DataFrame:
     for p in ("base", "before", "recent"):
         for c, name in (("i", "internal_movement"), ("e", "external_movement")):
             aggs.append(F.coalesce(F.avg(F.when(F.col("part") == p, F.col(c))), F.lit(0.0)).alias(f"{name}_{p}"))
-        aggs.append(F.max(F.when(F.col("part") == p, 1)).alias(f"has_{p}"))
+        aggs.append(F.max(F.when(F.col("part") == p, 1).otherwise(0)).alias(f"has_{p}"))
     return daily.groupBy("poly_id").agg(*aggs)
 
 
@@ -190,7 +190,8 @@ def change_maps(flows: DataFrame, base_day: str, rt: DataFrame | None = None, da
             cols.append(F.coalesce(ratio(b - a, a), F.lit(0.0)).alias(f"delta_{c}"))
             bad = bad | ((a == 0) & (b != 0))
         cols = [F.when(both, x).otherwise(0.0).alias(n) for x, n in zip(cols, ("delta_internal_movement", "delta_external_movement"))]
-        rows.append(w.filter(~(both & bad)).select("poly_id", F.lit(name).alias("kind"), *cols))
+        some = (F.col(f"has_{early}") == 1) | (F.col("has_recent") == 1)
+        rows.append(w.filter(some & ~(both & bad)).select("poly_id", F.lit(name).alias("kind"), *cols))
     out = rows[0].unionByName(rows[1])
     return out if rt is None else out.join(rt_alerts(rt, days).select("poly_id", "ml"), "poly_id", "left")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from wayflux.functions.dates import wall_clock_instant
 from wayflux.sources.files import with_endpoints
 
 
@@ -29,12 +30,14 @@ def daily_flow_totals(stream: DataFrame, late: str = "2 days") -> DataFrame:
 
     The window starts at noon of the day before, which is what rounding to the day means.
     """
-    day = F.window("date_time", "1 day", "1 day", "12 hours")
+    day = F.window("event_time", "1 day", "1 day", "12 hours")
+    start_day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
     return (
-        stream.withWatermark("date_time", late)
+        stream.withColumn("event_time", wall_clock_instant(F.col("date_time")))
+        .withWatermark("event_time", late)
         .groupBy(day.alias("w"), "start_poly_id", "end_poly_id")
         .agg(F.sum("movement").alias("movement"))
-        .select(F.date_add(F.col("w.start").cast("date"), 1).alias("date_time"), "start_poly_id", "end_poly_id", "movement")
+        .select(F.date_add(start_day, 1).alias("date_time"), "start_poly_id", "end_poly_id", "movement")
     )
 
 
@@ -46,7 +49,8 @@ def batch_daily_flow_totals(df: DataFrame) -> DataFrame:
 
 def without_repeats(stream: DataFrame, keys: list[str], time: str = "date_time", late: str = "2 days") -> DataFrame:
     """Copies of a tile within the watermark are dropped."""
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+    timed = stream.withColumn("event_time", wall_clock_instant(F.col(time)))
+    return timed.withWatermark("event_time", late).dropDuplicatesWithinWatermark(keys).drop("event_time")
 
 
 def upsert_days(path: str, date: str = "date"):
