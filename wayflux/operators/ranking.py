@@ -31,47 +31,58 @@ def top_rows(df: DataFrame, value: str, ties: list[str], n: int = 10) -> DataFra
     return df.orderBy(F.col(value).desc(), *ties).limit(n)
 
 
-def _position(x: Column, cuts: Column) -> Column:
-    """2i for values between cuts i-1 and i, 2i+1 for values equal to cut i."""
-    below = F.size(F.filter(cuts, lambda c: c < x))
-    return 2 * below + F.when(F.array_contains(cuts, x), 1).otherwise(0)
+def _position(x: Column, cuts: Column, pieces: int) -> Column:
+    """2i for values between cuts i-1 and i, 2i+1 for values equal to cut i, by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(pieces - 1, 1).bit_length()))])
+    below = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when((at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) < x), at + step).otherwise(at),
+    )
+    return F.transform(F.array(below), lambda i: 2 * i + F.when(F.get(cuts, i) == x, 1).otherwise(0))[0]
 
 
-def distributed_rank(df: DataFrame, keys: list[str], score: str, tie: str, pieces: int = 256) -> DataFrame:
+def distributed_rank(
+    df: DataFrame, keys: list[str], score: str, tie: str, pieces: int = 1024, rows_per_task: int = 200_000
+) -> DataFrame:
     """Exact 1-based rank (`rank`) by falling score, then rising unique numeric `tie`, and group size `n`.
 
-    A group may hold most of the table, so it is cut into pieces by approximate quantiles
-    of the score; rows that share one cut's score are cut once more by `tie`. Rank = rows in
-    earlier pieces + position within the piece. Only pieces are ever sorted.
+    A group may hold most of the table. Groups beyond `rows_per_task` are cut into pieces by
+    approximate quantiles of the score; rows that share one cut's score are cut once more by
+    `tie`. Rank = rows in earlier pieces + position within the piece. Only pieces are sorted.
     """
     probs = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     neg = F.when(F.col(score) == 0, F.lit(0.0)).otherwise(-F.col(score))
-    base = df.withColumn("_s", neg)
     anchor = [F.lit(0).alias("_g")] if not keys else []
     ks = keys or ["_g"]
-    base = base.select("*", *anchor)
-    cuts = base.groupBy(*ks).agg(F.array_distinct(F.percentile_approx("_s", probs, 10_000)).alias("_cuts"))
-    placed = base.join(cuts, ks).withColumn("_p", _position(F.col("_s"), F.col("_cuts"))).drop("_cuts")
+    base = df.select("*", neg.alias("_s"), *anchor)
+    base = base.join(base.groupBy(*ks).agg(F.count("*").alias("n")), ks)
+    cuts = (
+        base.filter(F.col("n") > rows_per_task)
+        .groupBy(*ks)
+        .agg(F.array_distinct(F.percentile_approx("_s", probs, 10_000)).alias("_cuts"))
+    )
+    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(_position(F.col("_s"), F.col("_cuts"), pieces))
+    placed = base.join(cuts, ks, "left").withColumn("_p", piece).drop("_cuts")
     tied = (
         placed.filter("_p % 2 = 1")
         .groupBy(*ks, "_p")
         .agg(F.array_distinct(F.percentile_approx(tie, probs, 10_000)).alias("_tcuts"))
     )
-    placed = placed.join(tied, [*ks, "_p"], "left").withColumn(
-        "_q", F.when(F.col("_tcuts").isNull(), 0).otherwise(_position(F.col(tie), F.col("_tcuts")))
-    ).drop("_tcuts")
-    sizes = placed.groupBy(*ks, "_p", "_q").agg(F.count("*").alias("_c"))
+    part = F.when(F.col("_tcuts").isNull(), 0).otherwise(_position(F.col(tie), F.col("_tcuts"), pieces))
+    placed = placed.join(tied, [*ks, "_p"], "left").withColumn("_q", part).drop("_tcuts")
     before = W.partitionBy(*ks).orderBy("_p", "_q")  # one row per piece
-    offsets = sizes.select(
-        *ks, "_p", "_q",
-        (F.sum("_c").over(before) - F.col("_c")).alias("_off"),
-        F.sum("_c").over(W.partitionBy(*ks)).alias("n"),
+    offsets = (
+        placed.filter(F.col("n") > rows_per_task)
+        .groupBy(*ks, "_p", "_q")
+        .agg(F.count("*").alias("_c"))
+        .select(*ks, "_p", "_q", (F.sum("_c").over(before) - F.col("_c")).alias("_off"))
     )
     inside = F.row_number().over(W.partitionBy(*ks, "_p", "_q").orderBy("_s", tie))
     return (
         placed.withColumn("_rn", inside)
-        .join(offsets, [*ks, "_p", "_q"])
-        .withColumn("rank", F.col("_off") + F.col("_rn"))
+        .join(offsets, [*ks, "_p", "_q"], "left")
+        .withColumn("rank", F.coalesce("_off", F.lit(0)) + F.col("_rn"))
         .drop("_p", "_q", "_off", "_rn", "_s", *(["_g"] if not keys else []))
     )
 
@@ -86,25 +97,33 @@ def numbered(df: DataFrame, order: list[Column], out: str = "number") -> DataFra
     return df.withColumn(out, F.row_number().over(W.orderBy(*order)).cast("bigint"))
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], col: str, probs: list[float], out: str = "q", pieces: int = 256) -> DataFrame:
+def exact_percentiles(
+    df: DataFrame, keys: list[str], col: str, probs: list[float], out: str = "q", pieces: int = 1024, rows_per_task: int = 200_000
+) -> DataFrame:
     """Exact interpolated percentiles of groups of any size, as one array column.
 
-    Equal values are counted first; distinct values are then cut into pieces by
-    approximate quantiles, and positions come from piece offsets plus a sum within a piece.
+    Equal values are counted first; groups with more than `rows_per_task` distinct values are
+    cut into pieces by approximate quantiles, and positions come from piece offsets plus a
+    sum within a piece.
     """
     ks = keys or ["_g"]
     base = df.filter(F.col(col).isNotNull())
     base = base if keys else base.withColumn("_g", F.lit(0))
     counts = base.groupBy(*ks, F.col(col).alias("_v")).agg(F.count("*").alias("_c"))
+    totals = counts.groupBy(*ks).agg(F.sum("_c").alias("_n"), F.count("*").alias("_d"))
+    counts = counts.join(totals, ks)
     marks = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    cuts = counts.groupBy(*ks).agg(F.array_distinct(F.percentile_approx("_v", marks, 10_000)).alias("_cuts"))
-    placed = counts.join(cuts, ks).select(*ks, "_v", "_c", _position(F.col("_v"), F.col("_cuts")).alias("_p"))
+    big = counts.filter(F.col("_d") > rows_per_task)
+    cuts = big.groupBy(*ks).agg(F.array_distinct(F.percentile_approx("_v", marks, 10_000)).alias("_cuts"))
+    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(_position(F.col("_v"), F.col("_cuts"), pieces))
+    placed = counts.join(cuts, ks, "left").select(*ks, "_n", "_d", "_v", "_c", piece.alias("_p"))
     order = W.partitionBy(*ks).orderBy("_p")  # one row per piece
-    offsets = placed.groupBy(*ks, "_p").agg(F.sum("_c").alias("_s")).select(
-        *ks, "_p", (F.sum("_s").over(order) - F.col("_s")).alias("_off"), F.sum("_s").over(W.partitionBy(*ks)).alias("_n")
+    offsets = (
+        placed.filter(F.col("_d") > rows_per_task).groupBy(*ks, "_p").agg(F.sum("_c").alias("_s"))
+        .select(*ks, "_p", (F.sum("_s").over(order) - F.col("_s")).alias("_off"))
     )
     inside = F.sum("_c").over(W.partitionBy(*ks, "_p").orderBy("_v"))
-    ends = placed.withColumn("_e", inside).join(offsets, [*ks, "_p"]).withColumn("_e", F.col("_e") + F.col("_off"))
+    ends = placed.withColumn("_e", inside).join(offsets, [*ks, "_p"], "left").withColumn("_e", F.col("_e") + F.coalesce("_off", F.lit(0)))
 
     def at(pos: Column) -> Column:
         return F.max(F.when((pos >= F.col("_e") - F.col("_c")) & (pos < F.col("_e")), F.col("_v")))
