@@ -157,7 +157,7 @@ def _(t):
 
 @query("order_values_by_hot_status", """
     SELECT o_orderstatus AS status, l_returnflag AS flag, count(*) AS n, sum(l_quantity) AS quantity
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN (SELECT DISTINCT o_orderstatus AS s FROM orders) x ON x.s = o_orderstatus GROUP BY 1, 2""", covers="")
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN (SELECT DISTINCT o_orderstatus AS s FROM orders) x ON x.s = o_orderstatus GROUP BY 1, 2""", covers="C1")
 def _(t):
     o = t.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("status"))
     li = t.raw("lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("flag"), "l_quantity").join(o, "l_orderkey")

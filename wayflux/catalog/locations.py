@@ -41,7 +41,7 @@ def _(t):
 
 
 @query("brazil_cases", """
-    SELECT CAST(1000 + n_nationkey * 50 AS VARCHAR) AS geo_id, date_time, num_cases, n_name AS location, poly_lon AS lon, poly_lat AS lat FROM cases JOIN polygons USING (poly_id) JOIN nation ON CAST(n_nationkey AS VARCHAR) = poly_id WHERE num_cases > 0 AND n_nationkey <> 3""", d="date_time", covers="N2 C1 B2")
+    SELECT CAST(1000 + n_nationkey * 50 AS VARCHAR) AS geo_id, date_time, num_cases, n_name AS location, poly_lon AS lon, poly_lat AS lat FROM cases JOIN polygons USING (poly_id) JOIN nation ON CAST(n_nationkey AS VARCHAR) = poly_id WHERE num_cases > 0 AND n_nationkey <> 3""", d="date_time", covers="N2 M1 C1 B2")
 def _(t):
     code = F.when(F.col("poly_id") == "3", F.lit("3")).otherwise((1000 + F.col("poly_id").cast("int") * 50).cast("string"))
     raw = t.cases.select("date_time", code.alias("geo_id"), "num_cases")

@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from wayflux import schema
 from wayflux.catalog.base import query
 from wayflux.operators import reshape
+from wayflux.session import shared_folder
 from wayflux.sources import files
 
 
 def _folder(t, name: str) -> str:
     """Folder for a written stage table, next to the checkpoints of the session."""
-    from wayflux.session import _checkpoint_ready
-
-    _checkpoint_ready(t.spark)
-    base = t.spark.sparkContext.getCheckpointDir()
     tag = hashlib.md5(f"{t.root}{name}".encode()).hexdigest()[:10]
-    return f"{base}/wayflux-{tag}-{os.getpid()}-{name}"
+    return f"{shared_folder(t.spark)}/wayflux-{tag}-{os.getpid()}-{name}"
 
 
 @query("flows_through_csv", "SELECT * FROM movement", d="date_time", covers="A1 A13")

@@ -29,15 +29,14 @@ def extrapolate_ranges(ranges: DataFrame, weights: DataFrame, areas: DataFrame)
     An outer area without data that day does not count; none with data: null; an area that
     meets no outer area at all: 0.
     """
-    days = ranges.select(F.col("ds").alias("date_time")).distinct()
+    days = ranges.agg(F.sort_array(F.collect_set("ds")).alias("_days"))  # one row, bounded by the calendar
     known = (
         weights.join(ranges, "external_polygon_id")
         .groupBy("poly_id", F.col("ds").alias("date_time"))
         .agg(ratio(F.sum(F.col("factor") * F.col("all_day_bing_tiles_visited_relative_change")), F.sum("factor")).alias("movement_change"))
     )
     met = weights.select("poly_id").distinct().withColumn("_met", F.lit(True))
-    # one row per area and day is the shape of the result itself
-    grid = areas.select("poly_id").crossJoin(days)
+    grid = areas.select("poly_id").crossJoin(days).select("poly_id", F.explode("_days").alias("date_time"))
     return (
         grid.join(known, ["poly_id", "date_time"], "left")
         .join(met, "poly_id", "left")

@@ -17,16 +17,18 @@ def local_session(cores: str = "8", app: str = "wayflux") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
 
-def _checkpoint_ready(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; set here only where the session names none."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
-        return
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if configured:
         sc.setCheckpointDir(configured)
@@ -34,11 +36,12 @@ def _checkpoint_ready(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="wayflux-ckpt-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that loops keep short plans and survive lost executors."""
-    _checkpoint_ready(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

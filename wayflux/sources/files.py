@@ -176,6 +176,3 @@ def parse_dates(df: DataFrame, col: str, fmt: str) -> DataFrame:
     """Dates by format; rows that cannot be read drop out."""
     return df.withColumn(col, dates.parse_lenient(F.col(col), fmt)).na.drop(subset=[col])
 
-
-def from_quoted(df: DataFrame, col: str) -> DataFrame:
-    return df.withColumn(col, F.regexp_replace(col, '^"|"$', ""))
