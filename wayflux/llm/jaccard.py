@@ -24,6 +24,7 @@ SKETCH_BITS = 17
 FILTER_BITS = 20
 DELETIONS = 0.03
 EMPTY_COST = 1e6
+CELL = 4096
 # what a row of the index is: exact or one token left out, indexed and/or asked; asked ones sort first
 EXACT_BOTH, EXACT_ASKED, LESS_BOTH, LESS_ASKED, EXACT_HELD, LESS_HELD = range(6)
 
@@ -138,29 +139,45 @@ def _class_of(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(int(np.uint64(mix(tokens, s).sum(dtype=np.uint64)).view(np.int64)) for s in (21, 22))
 
 
+def outline(tokens: np.ndarray) -> bytes:
+    """Token counts per hash bin (up to 255), about two tokens a bin. The bins of two sets differ in sum by no more
+    than the sets do in tokens, also when bins are merged, so a larger sum rules a pair out for sure."""
+    bits = min(11, max(4, (len(tokens) - 1).bit_length() - 1))
+    counts = np.bincount((mix(tokens, 41) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def fold_bins(outlines: list[bytes]) -> np.ndarray:
+    """Outlines as rows of a matrix, all with the bins of the coarsest."""
+    size = min(map(len, outlines))
+    return np.stack([np.frombuffer(o, np.uint8).reshape(size, -1).sum(1, dtype=np.int32) for o in outlines])
+
+
 def describe(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc, version, n, c1, c2) per row, and rows (n = -1) with slots of the sketch that are much fuller than the rest (c1: slot, c2: count)."""
+    """(doc, version, n, c1, c2, outline) per row, and rows (n = -1) with slots of the sketch that are much fuller than the rest (c1: slot, c2: count)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, counts, keys = Bands(percent), np.zeros(1 << SKETCH_BITS, np.int64), 0
         for b in batches:
             size, c1, c2 = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            outlines: list = [None] * b.num_rows
             for k, tokens in _sets(b, n):
                 size[k] = len(tokens)
                 if len(tokens):
                     c1[k], c2[k] = _class_of(tokens)
+                    outlines[k] = outline(tokens)
                     band = bands.of(len(tokens))
                     if (m := bands.segments(band)) > 1:
                         slot = (Parts(tokens, band, m).key >> np.uint64(61 - SKETCH_BITS)).astype(np.int64)
                         np.add.at(counts, slot, 1)
                         keys += m
-            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("version"), pa.array(size), pa.array(c1), pa.array(c2)], names=["doc", "version", "n", "c1", "c2"])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("version"), pa.array(size), pa.array(c1), pa.array(c2), pa.array(outlines, pa.binary())], names=["doc", "version", "n", "c1", "c2", "outline"])
         full = np.flatnonzero(counts > 8 + 4 * keys / len(counts))
         if len(full):
             none = pa.nulls(len(full), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(np.full(len(full), -1)), pa.array(full), pa.array(counts[full])], names=["doc", "version", "n", "c1", "c2"])
+            yield pa.RecordBatch.from_arrays([none, none, pa.array(np.full(len(full), -1)), pa.array(full), pa.array(counts[full]), pa.nulls(len(full), pa.binary())], names=["doc", "version", "n", "c1", "c2", "outline"])
 
-    return rows.mapInArrow(run, "doc long, version long, n long, c1 long, c2 long")
+    return rows.mapInArrow(run, "doc long, version long, n long, c1 long, c2 long, outline binary")
 
 
 def emit(rows: DataFrame, n: int, percent: int, held) -> DataFrame:
@@ -248,6 +265,69 @@ def token_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return kept
 
 
+def _far(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Flags of pairs that cannot be similar: too different in size, or in the sum over their bins."""
+    apart = np.abs(a - b).sum(-1) * (100 + percent) > (na + nb) * (100 - percent)
+    return apart | (np.minimum(na, nb) * 100 < np.maximum(na, nb) * percent)
+
+
+def rule_out(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their outlines allow to be similar."""
+    for end in ("a", "b"):
+        pairs = pairs.join(outlines.select(F.col("doc").alias(end), F.col("n").alias(f"n{end}"), F.col("outline").alias(f"o{end}")), end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, nx, ny in zip(*(batch.column(c).to_pylist() for c in ("oa", "ob", "na", "nb")), strict=True):
+                m = fold_bins([x, y])
+                keep.append(not _far(m[0], m[1], nx, ny, percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "na", "nb", "oa", "ob").mapInArrow(run, "a long, b long").distinct()
+
+
+def cross(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets of one bucket and cell that are in different components, may meet, and whose outlines allow it.
+
+    Rows (bucket, i, j, left, doc, w, comp, n, outline) come sorted by cell; a cell has two blocks of bounded size
+    (one, where i = j), and only pairs that pass leave it.
+    """
+
+    def pairs(cell: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        left, doc, w, comp, n = (np.array([r[k] for r in cell]) for k in range(5))
+        bins = fold_bins([r[5] for r in cell])
+        asks, holds = w < EXACT_HELD, (w != EXACT_ASKED) & (w != LESS_ASKED)
+        exact = (w == EXACT_BOTH) | (w == EXACT_ASKED) | (w == EXACT_HELD)
+        first, second = np.flatnonzero(left), np.flatnonzero(~left) if not left.all() else np.arange(len(cell))
+        out = []
+        for i in first:
+            may = (comp[second] != comp[i]) & (exact[second] | exact[i]) & ((asks[second] & holds[i]) | (holds[second] & asks[i]))
+            js = second[may]
+            js = js[~_far(bins[js], bins[i], n[js], n[i], percent)]
+            out.append((np.minimum(doc[js], doc[i]), np.maximum(doc[js], doc[i])))
+        return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, cell = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(cell) > 1 and any(r[0] for r in cell):
+                a, b = pairs(cell)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != at:
+                    yield from done()
+                    at, cell = row[:3], []
+                cell.append(row[3:])
+        yield from done()
+
+    cells = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "doc", "w")
+    return cells.select("bucket", "i", "j", "left", "doc", "w", "comp", "n", "outline").mapInArrow(run, "a long, b long").distinct()
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked) of candidate pairs: 100 * common tokens >= percent * tokens of both."""
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("ta"))
@@ -302,7 +382,8 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     share an id are one document with several texts. A null id counts as no document: its row links
     others, but its component is null if nothing else is in it; ids are below 2^62. `version` is a hash of the text. An empty
     table gives no rows. Candidates are met in three turns, each only between components that are still
-    apart: every set with the head it shares most keys with, with all heads, with all sets; no pair is left out.
+    apart: every set with the head it shares most keys with, with all heads, with all sets. Only pairs that sizes or
+    outlines rule out for sure are not compared token by token; no pair is left out.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "jaccard")
@@ -321,34 +402,35 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     classes = parts.groupBy(*kinds).agg(F.min("least").alias("rep"), F.collect_list("salt").alias("salts"), F.sum("rows").alias("rows"))
     classes = stages.keep(classes, "classes")
     back = classes.select(*kinds, "rep", F.explode("salts").alias("salt"))
-    of = stages.keep(plain.join(back, [*kinds, "salt"]).select("doc", "version", "n", "rep"), "members")
+    of = stages.keep(plain.join(back, [*kinds, "salt"]).select("doc", "version", "n", "rep", "outline"), "members")
     copies = stages.keep(of.filter((F.col("doc") != F.col("rep.doc")) | (F.col("version") != F.col("rep.version"))).select("doc", "version").distinct(), "copies")
     texts = rows.select("doc", "version", "text")
     met = stages.keep(meet(emit(texts.join(copies, ["doc", "version"], "left_anti"), n, percent, shared)), "met")
+    outlines = of.filter((F.col("doc") == F.col("rep.doc")) & (F.col("version") == F.col("rep.version")) & (F.col("n") > 0)).select("doc", "n", "outline")
     # a document with several texts is one node: its texts' classes are linked through it
     several = of.groupBy("doc").agg(F.min("rep.doc").alias("a"), F.max("rep.doc").alias("z")).filter("a <> z").select("doc")
     own = of.join(several, "doc").select(F.least("doc", "rep.doc").alias("a"), F.greatest("doc", "rep.doc").alias("b")).filter("a <> b").distinct()
     links = stages.keep(own, "links-0")
-    ends = met.select("doc").union(met.select("head")).distinct()
-    sets = token_sets(texts, ends, n)
-    label, done = None, None
+    label, done = components(links, stages, "comp-0"), None
     for turn in ("best", "heads", "all"):
-        pairs = _candidates(met, label, turn, percent, of)
+        pairs = _candidates(met, label, turn, percent, outlines)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stages.keep(pairs, f"pairs-{turn}")
-        if turn == "best" or pairs.limit(1).count():
-            seen = stages.keep(verify(pairs, sets, percent), f"seen-{turn}")
+        pairs = stages.keep(rule_out(pairs, outlines, percent), f"pairs-{turn}")
+        ends = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+        if pairs.limit(1).count():
+            seen = stages.keep(verify(pairs, token_sets(texts, ends, n), percent), f"seen-{turn}")
             links = links.union(seen.filter("linked").select("a", "b"))
             done = seen.select("a", "b") if done is None else done.union(seen.select("a", "b"))
-            label = components(links, stages, f"comp-{turn}")
+            if seen.filter("linked").limit(1).count():
+                label = components(links, stages, f"comp-{turn}")
     named = classes.join(label.select(F.col("id").alias("rep_doc"), "comp"), F.col("rep.doc") == F.col("rep_doc"), "left")
     named = named.select(*kinds, F.coalesce("comp", F.col("rep.doc")).alias("comp"), F.explode("salts").alias("salt"))
     out = plain.join(named, [*kinds, "salt"]).select("doc", "version", F.col("n").alias("n_shingles"), "comp")
     return out.select(F.when(F.col("doc") < no_id, F.col("doc")).alias("doc"), "version", "n_shingles", F.when(F.col("comp") < no_id, F.col("comp")).alias("component_id"))
 
 
-def _candidates(met: DataFrame, label: DataFrame | None, turn: str, percent: int, of: DataFrame) -> DataFrame:
+def _candidates(met: DataFrame, label: DataFrame, turn: str, percent: int, outlines: DataFrame) -> DataFrame:
     """Pairs (a < b) of a turn whose ends are in different components."""
     if turn == "best":
         count = met.groupBy("doc", "head").agg(F.count("*").alias("n"))
@@ -359,13 +441,11 @@ def _candidates(met: DataFrame, label: DataFrame | None, turn: str, percent: int
         for end in ("a", "b"):
             pairs = pairs.join(label.select(F.col("id").alias(end), F.col("comp").alias(f"c{end}")), end, "left")
         return pairs.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    sizes = of.select("doc", "n").distinct()
     rows = met.select("bucket", "doc", F.col("is_").alias("w")).union(met.select("bucket", "head", "head_is")).distinct()
-    rows = rows.join(label.select(F.col("id").alias("doc"), "comp"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc")).join(sizes, "doc")
-    mixed = rows.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("bucket")
-    rows = rows.join(mixed, "bucket")
-    ask = rows.filter(F.col("w") < EXACT_HELD).select("bucket", F.col("doc").alias("x"), F.col("w").alias("wx"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
-    hold = rows.filter(~F.col("w").isin(EXACT_ASKED, LESS_ASKED)).select("bucket", F.col("doc").alias("y"), F.col("w").alias("wy"), F.col("comp").alias("cy"), F.col("n").alias("ny"))
-    exact = lambda c: F.col(c).isin(EXACT_BOTH, EXACT_ASKED, EXACT_HELD)
-    near = (F.col("cx") != F.col("cy")) & (exact("wx") | exact("wy")) & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * percent)
-    return ask.join(hold, "bucket").filter(near).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rows = rows.join(label.select(F.col("id").alias("doc"), "comp"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    mixed = rows.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.ceil(F.count("*") / CELL).alias("blocks")).filter("c0 <> c1").select("bucket", "blocks")
+    rows = rows.join(mixed, "bucket").join(outlines, "doc").withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+    # a bucket of several blocks is a grid of cells, block i against block j from i on
+    other = F.sequence(F.lit(0), F.col("blocks") - 1)
+    spread = rows.withColumn("other", F.explode(other)).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    return cross(spread.withColumn("left", F.col("own") == F.col("i")), percent)
