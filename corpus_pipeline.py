@@ -30,9 +30,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     id is in their group.
     """
     classes = jaccard.jaccard_classes(docs.select("doc_id", "text"), n=5, percent=80)
-    first = classes.filter(F.col("doc").eqNullSafe(F.col("component_id"))).select(F.col("doc").alias("_doc"), F.col("version").alias("_version")).distinct()
-    own = docs.withColumn("_v", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    kept = own.join(first, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_v") == F.col("_version")), "left_semi")
+    doc, version, own = (free_name(docs, c) for c in ("_doc", "_version", "_own"))
+    first = classes.filter(F.col("doc").eqNullSafe(F.col("component_id"))).select(F.col("doc").alias(doc), F.col("version").alias(version)).distinct()
+    keyed = docs.withColumn(own, F.coalesce(F.xxhash64("text"), F.lit(0)))
+    kept = keyed.join(first, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(version)), "left_semi")
     return kept.select(*docs.columns)
 
 

@@ -1,4 +1,4 @@
-"""Shared plumbing: stored stages, columns added by Arrow functions, folds, splitting of hot groups."""
+"""Shared plumbing: stored stages, columns added by Arrow functions, folds."""
 
 from __future__ import annotations
 
@@ -72,19 +72,6 @@ def crc_fold(key: Column, folds: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(folds)), F.lit(0))
 
 
-def first_of_groups(rows: DataFrame, keys: list[str], order: list[str], salts: int = 64) -> DataFrame:
-    """Rows of groups with two rows or more, with `first` (struct of the smallest `order`) and `copies`.
-
-    No group meets in one task: rows are counted per key and salt (a hash of `order`), those few sums are
-    joined per key, and rows take their group's values back by key and salt.
-    """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
-    parts = salted.groupBy(*keys, "_salt").agg(F.min(F.struct(*order)).alias("_least"), F.count("*").alias("_n"))
-    whole = parts.groupBy(*keys).agg(F.min("_least").alias("first"), F.sum("_n").alias("copies"), F.collect_list("_salt").alias("_salts")).filter("copies > 1")
-    back = whole.withColumn("_salt", F.explode("_salts")).drop("_salts")
-    return salted.join(back, [*keys, "_salt"]).drop("_salt")
-
-
 def label_sample(labels: DataFrame, label: str, rows: int, where: Column, id_col: str = "doc_id") -> DataFrame:
     """At most about `rows` labelled ids, (id, label), chosen by a hash of the id.
 

@@ -9,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayflux.llm.common import free_name
-
 MAX_PATTERNS = 200_000
 ROWS_PER_CUT = 4096
 
@@ -150,8 +148,9 @@ def mix_sources(docs: DataFrame, members: Column, weights, size: Column, key: li
     driver: more than MAX_PATTERNS is an error.
     """
     spark = docs.sparkSession
-    pat, words, place, rank = (free_name(docs, c) for c in ("_pattern", "_size", "_place", "_rank"))
-    rows = docs.withColumns({pat: F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>")))), words: F.coalesce(size.cast("long"), F.lit(0))})
+    pat, words, place, rank = "pattern", "size", "place", "rank"
+    sources = F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>"))))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), sources.alias(pat), F.coalesce(size.cast("long"), F.lit(0)).alias(words), F.xxhash64(F.lit(seed), *key).alias("_h"))
     found = rows.groupBy(pat).agg(F.sum(words).alias("size"), F.count("*").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -172,18 +171,18 @@ def mix_sources(docs: DataFrame, members: Column, weights, size: Column, key: li
     name = F.array_join(F.transform(pat, lambda m: F.coalesce(F.concat(F.length(m).cast("string"), F.lit(":"), m), F.lit("-"))), "")
     table = table.withColumn(rank, name).drop(pat)
     rows = rows.withColumn(rank, name)
-    seeded = rows.join(F.broadcast(table), rank).withColumn("_h", F.xxhash64(F.lit(seed), *key)).withColumn(place, F.pmod(F.col("_h"), F.col("cuts")))
+    seeded = rows.join(F.broadcast(table), rank).withColumn(place, F.pmod(F.col("_h"), F.col("cuts")))
     per_stretch = seeded.groupBy(rank, place).agg(F.sum(words).alias("_n"), F.first("rest").alias("_rest"))
     before = per_stretch.withColumn("_before", F.sum("_n").over(_running(rank, place)) - F.col("_n"))
     cut = before.filter((F.col("_before") <= F.col("_rest")) & (F.col("_before") + F.col("_n") > F.col("_rest"))).groupBy(rank).agg(F.min(place).alias("_cut"), F.max("_before").alias("_b"))
     # patterns whose rest takes every stretch do not occur: the rest is below the pattern's size
     placed = seeded.join(F.broadcast(cut), rank, "left")
     left = F.col("rest") - F.col("_b")
-    out_cols = [*docs.columns, words]
+    out_cols = ["row"]
     took = (F.col("whole") + F.when(F.col(place) < F.col("_cut"), 1).otherwise(0)) * F.col(words)
-    plain = placed.filter(F.coalesce(F.col(place) != F.col("_cut"), F.lit(True))).select(*out_cols, took.alias(into))
+    plain = placed.filter(F.coalesce(F.col(place) != F.col("_cut"), F.lit(True))).select(*out_cols, took.alias("taken"))
     edge = placed.filter(F.col(place) == F.col("_cut")).withColumn("_left", left)
-    schema = edge.select(*out_cols).schema.add(into, "long")
+    schema = edge.select(*out_cols).schema.add("taken", "long")
 
     def fill(group: pa.Table) -> pa.Table:
         group = group.sort_by([("_h", "ascending"), (words, "ascending")])
@@ -194,9 +193,10 @@ def mix_sources(docs: DataFrame, members: Column, weights, size: Column, key: li
             gap -= taken[-1]
         gap = fill_gap(n, taken, gap)
         both = [w * x + t for w, x, t in zip(group["whole"].to_pylist(), n, taken, strict=True)]
-        return group.select(out_cols).append_column(into, pa.array(both, pa.int64()))
+        return group.select(out_cols).append_column("taken", pa.array(both, pa.int64()))
 
-    return plain.unionByName(edge.groupBy(rank).applyInArrow(fill, schema)), sizes, targets
+    both = plain.unionByName(edge.groupBy(rank).applyInArrow(fill, schema))
+    return both.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != into), F.col("taken").alias(into)), sizes, targets
 
 
 def _running(part: str, order: str):
