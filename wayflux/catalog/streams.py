@@ -25,6 +25,18 @@ def _flow_source(t):
     return path, src
 
 
+def _in_turns(df, day, path, falling=False, turns=4):
+    """Write the rows as one file per stretch of days, one after the other, so that a stream takes them in that order."""
+    ends = df.agg(F.min(day.cast("date")).alias("a"), F.max(day.cast("date")).alias("b")).first()
+    if ends["a"] is None:
+        df.write.parquet(path)
+        return
+    span = (ends["b"] - ends["a"]).days + 1
+    turn = F.floor(F.datediff(day.cast("date"), F.lit(ends["a"])) * turns / span)
+    for k in reversed(range(turns)) if falling else range(turns):
+        df.filter(turn == k).coalesce(1).write.mode("append").parquet(path)
+
+
 @query("streamed_tiles", "SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S') AS date_time, count(*) AS n, sum(start_movement_lon) AS lon FROM tiles GROUP BY 1", r="lon", covers="L1")
 def _(t):
     path, sink = _fresh(t, "tile_files"), _fresh(t, "tile_sink")
@@ -53,11 +65,11 @@ def _(t):
 
 @query("streamed_without_repeats", "SELECT event_id, value AS movement FROM events", r="movement", covers="L4")
 def _(t):
-    """Every tile arrives twice."""
-    path, src = _flow_source(t)
-    src.write.mode("append").parquet(path)
-    sink = _fresh(t, "once_sink")
-    stream = jobs.without_repeats(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 1000), ["event_id"], late="60 days")
+    """Every tile arrives twice; a file per batch, in the order of days, so that the watermark moves on."""
+    src = _flow_source(t)[1]
+    path, sink = _fresh(t, "twice_files"), _fresh(t, "once_sink")
+    _in_turns(src.union(src), F.col("date_time"), path)
+    stream = jobs.without_repeats(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 1), ["event_id"])
     jobs.run_available(stream, sink + "/out", sink + "/state")
     return t.spark.read.parquet(sink + "/out").select("event_id", "movement")
 
@@ -65,14 +77,17 @@ def _(t):
 @query("streamed_day_partitions", "SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events GROUP BY 1, 2", d="date", covers="L3 A18")
 def _(t):
     path, sink = _fresh(t, "day_files"), _fresh(t, "day_sink")
-    daily = t.raw("events").groupBy(F.col("ts").cast("date").alias("date"), "event_type").agg(F.count("*").alias("n"))
-    daily.repartition("date").write.parquet(path)
+    # every day is split over all files, and every file is a batch
+    part = F.pmod(F.col("event_id"), F.lit(3))
+    daily = t.raw("events").groupBy(F.col("ts").cast("date").alias("date"), "event_type", part.alias("part")).agg(F.count("*").alias("n"))
+    for k in range(3):
+        daily.filter(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(path)
     q = (
-        jobs.stream_tiles(t.spark, path, daily.schema, "parquet").writeStream.foreachBatch(jobs.upsert_days(sink + "/out"))
+        jobs.stream_tiles(t.spark, path, daily.drop("part").schema, "parquet", 1).writeStream.foreachBatch(jobs.upsert_days(sink + "/out"))
         .option("checkpointLocation", sink + "/state").trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return t.spark.read.parquet(sink + "/out").select("date", "event_type", "n")
+    return jobs.read_days(t.spark, sink + "/out", ["date", "event_type"], ["n"])
 
 
 @query("streamed_first_cases", "SELECT CAST(user_id AS VARCHAR) AS poly_id, CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS first_date FROM events WHERE value > 20 GROUP BY 1", covers="L5 D15")
@@ -81,14 +96,14 @@ def _(t):
     src = t.raw("events").groupBy(F.col("user_id").cast("string").alias("poly_id"), F.date_format("ts", "yyyy-MM-dd").alias("date_time")).agg(
         F.sum(F.when(F.col("value") > 20, 1.0).otherwise(0.0)).alias("num_cases")
     )
-    src.write.parquet(path)
+    _in_turns(src, F.col("date_time"), path, falling=True)  # earlier days come later
     prev = t.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        stream = jobs.first_case_alerts(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 100_000))
+        stream = jobs.first_case_alerts(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 1))
         write = lambda batch, epoch: batch.write.mode("append").parquet(sink + "/out")
         q = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", sink + "/state").trigger(availableNow=True).start()
         q.awaitTermination()
     finally:
         t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", prev)
-    return t.spark.read.parquet(sink + "/out")
+    return t.spark.read.parquet(sink + "/out").groupBy("poly_id").agg(F.min("first_date").alias("first_date"))

@@ -53,31 +53,41 @@ def without_repeats(stream: DataFrame, keys: list[str], time: str = "date_time",
     return timed.withWatermark("event_time", late).dropDuplicatesWithinWatermark(keys).drop("event_time")
 
 
-def upsert_days(path: str, date: str = "date"):
-    """foreachBatch sink: the days of a batch replace their partitions, other days stay."""
+def upsert_days(path: str, date: str = "date", batch: str = "batch"):
+    """foreachBatch sink: each batch has its own partition of every day it holds.
 
-    def write(batch: DataFrame, epoch: int) -> None:
+    A day that comes in several batches keeps all of them, and a batch that is run again replaces only what
+    it wrote before. `read_days` puts the days together.
+    """
+
+    def write(rows: DataFrame, epoch: int) -> None:
         (
-            batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+            rows.withColumn(batch, F.lit(epoch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date, batch).parquet(path)
         )
 
     return write
 
 
+def read_days(spark: SparkSession, path: str, keys: list[str], sums: list[str]) -> DataFrame:
+    """What `upsert_days` stored, `sums` added up over the batches per key."""
+    return spark.read.parquet(path).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums))
+
+
 class FirstCase(StatefulProcessor):
-    """Emits an area once, with the first day it reports a case."""
+    """Emits an area with the first day it reports a case, and again when an earlier day arrives."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "first_date string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        known = self.seen.get()[0] if self.seen.exists() else None
+        first = known
         for pdf in rows:
             hit = pdf.loc[pdf["num_cases"] > 0, "date_time"]
             if len(hit):
                 day = str(hit.min())
                 first = day if first is None or day < first else first
-        if first is not None and not self.seen.exists():
+        if first != known:
             self.seen.update((first,))
             yield pd.DataFrame({"poly_id": [key[0]], "first_date": [first]})
 
@@ -86,6 +96,7 @@ class FirstCase(StatefulProcessor):
 
 
 def first_case_alerts(stream: DataFrame) -> DataFrame:
+    """Alerts and their corrections; the smallest date of an area is the one that holds."""
     return stream.groupBy("poly_id").transformWithStateInPandas(
         statefulProcessor=FirstCase(), outputStructType="poly_id string, first_date string", outputMode="Update", timeMode="None"
     )
