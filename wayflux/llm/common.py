@@ -13,6 +13,16 @@ from pyspark.sql import types as T
 from wayflux.session import shared_folder
 
 
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of BATCH_BYTES at most from here on in this session, however long the texts are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(name)).lower().removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 class Stages:
     """Written tables of one run in the folder that the cluster shares (`spark.checkpoint.dir`).
 
@@ -21,6 +31,7 @@ class Stages:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         path, files = self._files(self.root)
@@ -56,6 +67,7 @@ def add_column(df: DataFrame, name: str, kind: T.DataType, make: Callable[[], Ca
     `make` runs once in each task and returns the function of a batch. A column that has the
     name already is replaced.
     """
+    bound_batches(df.sparkSession)
     kept = [f for f in df.schema.fields if f.name not in set(drop) and f.name != name]
     names = [f.name for f in kept]
 
