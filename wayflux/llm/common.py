@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -61,6 +62,25 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def freeing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run` for mapInArrow; when its task ends, the worker gives freed memory back to the system.
+
+    Workers are kept for later tasks, and several of them wait beside the one at work; without this each
+    holds on to the most that it ever needed.
+    """
+
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return freed
+
+
 def add_column(df: DataFrame, name: str, kind: T.DataType, make: Callable[[], Callable[[pa.RecordBatch], pa.Array]], drop: Iterable[str] = ()) -> DataFrame:
     """`df` with a column computed per Arrow batch, without the columns in `drop`.
 
@@ -76,7 +96,7 @@ def add_column(df: DataFrame, name: str, kind: T.DataType, make: Callable[[], Ca
         for b in batches:
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), fn(b)], names=[*names, name])
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField(name, kind)]))
+    return df.mapInArrow(freeing(run), T.StructType([*kept, T.StructField(name, kind)]))
 
 
 def crc_fold(key: Column, folds: int) -> Column:

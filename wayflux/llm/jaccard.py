@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayflux.llm.common import Stages
+from wayflux.llm.common import Stages, freeing
 from wayflux.llm.tokens import mix, row_blocks, shingles, utf8, words
 
 SKETCH_BITS = 17
@@ -177,7 +177,7 @@ def describe(rows: DataFrame, n: int, percent: int) -> DataFrame:
             none = pa.nulls(len(full), pa.int64())
             yield pa.RecordBatch.from_arrays([none, none, pa.array(np.full(len(full), -1)), pa.array(full), pa.array(counts[full]), pa.nulls(len(full), pa.binary())], names=["doc", "version", "n", "c1", "c2", "outline"])
 
-    return rows.mapInArrow(run, "doc long, version long, n long, c1 long, c2 long, outline binary")
+    return rows.mapInArrow(freeing(run), "doc long, version long, n long, c1 long, c2 long, outline binary")
 
 
 def emit(rows: DataFrame, n: int, percent: int, held) -> DataFrame:
@@ -201,7 +201,7 @@ def emit(rows: DataFrame, n: int, percent: int, held) -> DataFrame:
     def _pairs(keys: list, owner: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owner))], names=["key", "doc"])
 
-    return rows.mapInArrow(run, "key long, doc long")
+    return rows.mapInArrow(freeing(run), "key long, doc long")
 
 
 def meet(index: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def meet(index: DataFrame) -> DataFrame:
             keep = ~new & (own_is < EXACT_HELD) & (own != doc)
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (bucket, own, own_is, doc, what)], names=["bucket", "head", "head_is", "doc", "is_"])
 
-    return index.repartition(F.shiftright("key", 3)).sortWithinPartitions("key", "doc").mapInArrow(run, "bucket long, head long, head_is long, doc long, is_ long")
+    return index.repartition(F.shiftright("key", 3)).sortWithinPartitions("key", "doc").mapInArrow(freeing(run), "bucket long, head long, head_is long, doc long, is_ long")
 
 
 def _slots(col) -> object:
@@ -261,7 +261,7 @@ def token_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         for b in batches:
             yield b.select(["doc", "text"]).filter(pa.array(table[b.column("slot").to_numpy()]))
 
-    kept = rows.select("doc", "text", _slots("doc").alias("slot")).mapInArrow(lambda it: run(some(it)), "doc long, tokens binary")
+    kept = rows.select("doc", "text", _slots("doc").alias("slot")).mapInArrow(freeing(lambda it: run(some(it))), "doc long, tokens binary")
     return kept
 
 
@@ -284,7 +284,7 @@ def rule_out(pairs: DataFrame, outlines: DataFrame, percent: int) -> DataFrame:
                 keep.append(not _far(m[0], m[1], nx, ny, percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "na", "nb", "oa", "ob").mapInArrow(run, "a long, b long").distinct()
+    return pairs.select("a", "b", "na", "nb", "oa", "ob").mapInArrow(freeing(run), "a long, b long").distinct()
 
 
 def cross(rows: DataFrame, percent: int) -> DataFrame:
@@ -325,7 +325,7 @@ def cross(rows: DataFrame, percent: int) -> DataFrame:
         yield from done()
 
     cells = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "doc", "w")
-    return cells.select("bucket", "i", "j", "left", "doc", "w", "comp", "n", "outline").mapInArrow(run, "a long, b long").distinct()
+    return cells.select("bucket", "i", "j", "left", "doc", "w", "comp", "n", "outline").mapInArrow(freeing(run), "a long, b long").distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -347,7 +347,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * common >= percent * (len(s) + len(t) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    return both.mapInArrow(run, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    return both.mapInArrow(freeing(run), "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
 
 
 def components(links: DataFrame, stages: Stages, name: str) -> DataFrame:

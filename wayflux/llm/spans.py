@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayflux.llm.common import add_column, free_name
+from wayflux.llm.common import add_column, free_name, freeing
 from wayflux.llm.tokens import mix, powers, row_blocks, utf8, words
 
 LONG = 40
@@ -128,8 +128,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
                 again, _, before = later(h1, h2, tuple(place), before)  # settled rows sort last
                 yield b.select(["doc", "version", "first", "stop"]).filter(pa.array(again | settled))
 
-    met = rows.mapInArrow(local, schema).repartition("spread").sortWithinPartitions("settled", "h1", "h2", "doc", "version", "first")
-    return met.mapInArrow(whole, "doc long, version long, first int, stop int")
+    met = rows.mapInArrow(freeing(local), schema).repartition("spread").sortWithinPartitions("settled", "h1", "h2", "doc", "version", "first")
+    return met.mapInArrow(freeing(whole), "doc long, version long, first int, stop int")
 
 
 def remove_repeats(docs: DataFrame, into: str = "removed", id_col: str = "doc_id", text: str = "text") -> DataFrame:
