@@ -107,9 +107,37 @@ def test_names(spark):
 
 def test_ring_tests(spark):
     wkt = "POLYGON ((0 0, 4 0, 4 4, 2 2, 0 4, 0 0))"
-    df = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (0.0, 1.0), (3.5, 3.0)], "x double, y double").withColumn("r", geo.ring_from_wkt(F.lit(wkt)))
-    assert [r[0] for r in df.select(geo.inside_ring(F.col("x"), F.col("y"), F.col("r"))).collect()] == [True, False, False, True]
-    assert df.select(geo.ring_area(F.col("r"))).first()[0] == 12.0
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (0.0, 1.0), (3.5, 3.0)], "x double, y double").withColumn("r", geo.rings_from_wkt(F.lit(wkt)))
+    assert [r[0] for r in df.select(geo.inside(F.col("x"), F.col("y"), geo.edges_of(F.col("r")))).collect()] == [True, False, False, True]
+    assert df.select(geo.area(F.col("r"))).first()[0] == 12.0
+
+
+def test_parts_and_holes(spark):
+    wkt = "MULTIPOLYGON (((0 0, 0 9, 9 9, 9 0, 0 0), (3 3, 6 3, 6 6, 3 6, 3 3)), ((20 0, 22 0, 22 1, 20 1, 20 0)))"
+    points = [(1.0, 1.0, True), (4.5, 4.5, False), (3.0, 4.0, False), (21.0, 0.5, True), (15.0, 0.5, False), (6.5, 4.5, True)]
+    df = spark.createDataFrame(points, "x double, y double, want boolean").withColumn("r", geo.rings_from_wkt(F.lit(wkt)))
+    assert all(r.got == r.want for r in df.select("want", geo.inside(F.col("x"), F.col("y"), geo.edges_of(F.col("r"))).alias("got")).collect())
+    c = geo.centroid(F.col("r"))
+    row = df.select(geo.area(F.col("r")).alias("a"), c["lon"].alias("x"), c["lat"].alias("y")).first()
+    assert row.a == 81 - 9 + 2 and abs(row.x - (72 * 4.5 + 2 * 21) / 74) < 1e-12 and abs(row.y - (72 * 4.5 + 2 * 0.5) / 74) < 1e-12
+
+
+def test_empty_and_null_shapes(spark):
+    areas = spark.createDataFrame([("a", None), ("b", "POLYGON EMPTY"), ("c", "POLYGON ((0 0, 1 0, 1 1, 0 0))"), ("d", "POLYGON ((x))")], "poly_id string, geometry string")
+    areas = spatial.with_rings(areas)
+    points = spark.createDataFrame([(0.6, 0.3), (5.0, 5.0), (None, 1.0)], "lon double, lat double")
+    assert [tuple(r) for r in spatial.points_in_areas(points, areas, "lon", "lat", ["poly_id"]).collect()] == [(0.6, 0.3, "c")]
+    assert spatial.touching_areas(areas).isEmpty() and spatial.overlap_weights(areas, areas.withColumnRenamed("poly_id", "o"), "poly_id", "o", 1.0).count() == 1
+
+
+def test_filler_of_a_hole_touches(spark):
+    frame = "POLYGON ((0 0, 9 0, 9 9, 0 9, 0 0), (3 3, 6 3, 6 6, 3 6, 3 3))"
+    areas = [("frame", frame), ("filler", "POLYGON ((3 3, 6 3, 6 6, 3 6, 3 3))"), ("loose", "POLYGON ((4 4, 5 4, 5 5, 4 4))"), ("inner", "POLYGON ((1 1, 2 1, 2 2, 1 1))")]
+    areas = spatial.with_rings(spark.createDataFrame(areas, "poly_id string, geometry string"))
+    assert {tuple(r) for r in spatial.touching_areas(areas, 2.0).collect()} == {("frame", "filler"), ("filler", "frame")}
+    pairs = spatial.meeting_pairs(areas, areas.select(F.col("poly_id").alias("o"), "rings"), "poly_id", "o", 2.0)
+    got = {tuple(r) for r in pairs.collect() if r.poly_id < r.o}
+    assert got == {("filler", "frame"), ("filler", "loose"), ("frame", "inner")}
 
 
 def test_nearest_date_picks_earlier_on_tie(spark):
@@ -125,7 +153,7 @@ def test_top_or_other(spark):
 
 
 def test_areas_on_line_prefers_smallest(spark):
-    areas = spatial.with_ring(spark.createDataFrame([("a", "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"), ("b", "POLYGON ((5 5, 6 5, 6 6, 5 6, 5 5))")], "poly_id string, geometry string"))
+    areas = spatial.with_rings(spark.createDataFrame([("a", "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"), ("b", "POLYGON ((5 5, 6 5, 6 6, 5 6, 5 5))")], "poly_id string, geometry string"))
     lines = spark.createDataFrame([("r1", 2, -1.0, 0.5, 2.0, 0.5), ("r2", 1, 0.5, -1.0, 0.5, 2.0), ("r3", 1, 6.05, 0.0, 6.05, 9.0)], "line_id string, preference int, x1 double, y1 double, x2 double, y2 double")
     assert {tuple(r) for r in spatial.areas_on_line(areas, lines, "poly_id", 1.0).collect()} == {("a", "r2")}
     assert {tuple(r) for r in spatial.areas_on_line(areas, lines, "poly_id", 1.0, 0.1).collect()} == {("a", "r2"), ("b", "r3")}

@@ -7,7 +7,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from wayflux.functions import special
+from wayflux.functions import geo, special
 from wayflux.operators import ranking, spatial
 from wayflux.operators.cover import greedy_heads
 from wayflux.plans import agglomerate, epi, forecast, graphs, places, series, shape
@@ -85,6 +85,55 @@ def test_nearest_centre_beyond_first_reach(spark):
     assert got == {(0.0, 0.0): "a", (50.0, 20.0): "b", (-3.0, 7.0): "a"}
 
 
+def _clipped_area(subject, clip):
+    """Area of a polygon cut by the sides of a convex, counter-clockwise one."""
+    for (ax, ay), (bx, by) in zip(clip, clip[1:] + clip[:1]):
+        def side(p):
+            return (bx - ax) * (p[1] - ay) - (by - ay) * (p[0] - ax)
+
+        out = []
+        for p, q in zip(subject, subject[1:] + subject[:1]):
+            sp, sq = side(p), side(q)
+            if sp >= 0:
+                out.append(p)
+            if sp * sq < 0:
+                out.append((p[0] + (q[0] - p[0]) * sp / (sp - sq), p[1] + (q[1] - p[1]) * sp / (sp - sq)))
+        subject = out
+    return abs(sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(subject, subject[1:] + subject[:1]))) / 2 if subject else 0.0
+
+
+def test_shared_area_of_triangles(spark):
+    rng, rows = np.random.default_rng(5), []
+    for _ in range(200):
+        a, b = rng.uniform(-1, 1, (2, 3, 2)).round(3).tolist()
+        b = b if (b[1][0] - b[0][0]) * (b[2][1] - b[0][1]) > (b[1][1] - b[0][1]) * (b[2][0] - b[0][0]) else b[::-1]
+        texts = ["POLYGON ((" + ", ".join(f"{x} {y}" for x, y in [*t, t[0]]) + "))" for t in (a, b)]
+        rows.append((*texts, _clipped_area([tuple(p) for p in a], [tuple(p) for p in b])))
+    df = spark.createDataFrame(rows, "a string, b string, want double")
+    ea, eb = (geo.edges_of(geo.rings_from_wkt(F.col(c))) for c in "ab")
+    assert all(abs(r.got - r.want) < 1e-12 for r in df.select("want", geo.shared_area(ea, eb).alias("got")).collect())
+    assert sum(r[2] > 0.01 for r in rows) > 50
+
+
+def test_points_in_areas_match_plain_ray_test(spark):
+    rng, areas = np.random.default_rng(6), []
+    for k in range(12):
+        turn = np.sort(rng.uniform(0, 2 * np.pi, 9))
+        reach = rng.uniform(0.3, 2.0, 9)
+        p = [(round(3 * (k % 4) + r * np.cos(t), 3), round(2 * (k // 4) + r * np.sin(t), 3)) for t, r in zip(turn, reach)]
+        areas.append((k, [*p, p[0]]))
+    points = rng.uniform([-3, -3], [13, 8], (600, 2)).tolist()
+
+    def within(x, y, ring):
+        return sum((b > y) != (d > y) and x < a + (y - b) * (c - a) / (d - b) for (a, b), (c, d) in zip(ring, ring[1:])) % 2 == 1
+
+    shapes = spatial.with_rings(spark.createDataFrame([(k, "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in r) + "))") for k, r in areas], "k int, geometry string"))
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)], "i int, x double, y double")
+    for size in (0.1, 0.7):
+        got = {(r.i, r.k) for r in spatial.points_in_areas(df, shapes, "x", "y", ["k"], size).collect()}
+        assert got == {(i, k) for i, (x, y) in enumerate(points) for k, ring in areas if within(x, y, ring)}
+
+
 def test_page_rank_sums_to_one_and_matches_numpy(spark):
     e = [("a", "b", 2.0), ("b", "c", 1.0), ("a", "d", 1.0)]
     ids, w = ["a", "b", "c", "d", "alone"], [1.0, 0.0, 1.0, 0.0, 2.0]

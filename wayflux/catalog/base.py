@@ -210,9 +210,9 @@ class Tables:
 
     @cached_property
     def ringed(self) -> DataFrame:
-        from wayflux.operators.spatial import with_ring
+        from wayflux.operators.spatial import with_rings
 
-        return with_ring(self.polygons)
+        return with_rings(self.polygons)
 
     @cached_property
     def good_contacts(self) -> DataFrame:

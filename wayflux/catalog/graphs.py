@@ -114,12 +114,12 @@ def _(t):
 
 @query("enriched_places", covers="K19 C10 B14 E15")
 def _(t):
-    from wayflux.operators.spatial import with_ring
+    from wayflux.operators.spatial import with_rings
     from wayflux.sources.testdata import square_wkt
 
     merged = places.merge_places(user_places(t), 4000.0)
-    layer = t.ringed.select(F.col("poly_name").alias("name"), "ring")
-    uses = with_ring(t.polygons.select(square_wkt(F.col("poly_lon"), F.col("poly_lat"), 0.125).alias("geometry"), F.col("poly_name").alias("name"), F.when(F.col("attr_area") > 4, "SALUD").otherwise("TRANS").alias("class")))
+    layer = t.ringed.select(F.col("poly_name").alias("name"), "rings")
+    uses = with_rings(t.polygons.select(square_wkt(F.col("poly_lon"), F.col("poly_lat"), 0.125).alias("geometry"), F.col("poly_name").alias("name"), F.when(F.col("attr_area") > 4, "SALUD").otherwise("TRANS").alias("class")))
     out = places.enrich_places(merged, {"district": layer}, uses, ["SALUD", "TRANS"])
     return places.presence(out.withColumns({"has_salud": F.col("SALUD"), "has_trans": F.col("TRANS")}), ["has_salud", "has_trans"])
 

@@ -29,17 +29,17 @@ def region_squares(t):
     lon, lat = F.col("poly_lon") + 0.25, F.col("poly_lat")
     from wayflux.sources.testdata import square_wkt
 
-    return spatial.with_ring(t.polygons.select(F.concat(F.lit("X"), "poly_id").alias("external_polygon_id"), square_wkt(lon, lat, 0.25).alias("geometry")))
+    return spatial.with_rings(t.polygons.select(F.concat(F.lit("X"), "poly_id").alias("external_polygon_id"), square_wkt(lon, lat, 0.25).alias("geometry")))
 
 
 @query("ring_corners", """
     SELECT poly_id, w AS first_lon, s AS first_lat, 5 AS corners, 0.25e0 AS surface, poly_lon AS lon, poly_lat AS lat, c.n FROM squares
     JOIN (SELECT poly_id, sum(num_cases) AS n FROM cases GROUP BY 1) c USING (poly_id)""", r="first_lon first_lat surface lon lat", i="corners", covers="I1 I4 A10")
 def _(t):
-    r = F.col("ring")
+    r, first = F.col("rings"), F.col("rings")[0]
     c = geo.centroid(r)
     shapes = t.ringed.select(
-        "poly_id", r[0]["lon"].alias("first_lon"), r[0]["lat"].alias("first_lat"), F.size(r).alias("corners"), geo.ring_area(r).alias("surface"),
+        "poly_id", first[0]["lon"].alias("first_lon"), first[0]["lat"].alias("first_lat"), F.size(first).alias("corners"), geo.area(r).alias("surface"),
         c["lon"].alias("lon"), c["lat"].alias("lat"),
     )
     return shapes.join(t.cases.groupBy("poly_id").agg(F.sum("num_cases").alias("n")), "poly_id")
@@ -103,31 +103,37 @@ def _(t):
     return spatial.touching_areas(t.ringed)
 
 
-OVERLAP = """SELECT a.poly_id, 'X' || b.poly_id AS external_polygon_id, (least(a.e, b.e + 0.25) - greatest(a.w, b.w + 0.25)) * (least(a.n, b.n) - greatest(a.s, b.s)) AS area_overlap, a.attr_population
+def _km2(w: str, e: str, s: str, n: str) -> str:
+    """Area on the sphere of a box in degrees, 0 where it is empty."""
+    return f"{geo.GRID_RADIUS_KM}e0 * {geo.GRID_RADIUS_KM}e0 * greatest(0e0, radians({e}) - radians({w})) * greatest(0e0, sin(radians({n})) - sin(radians({s})))"
+
+
+OWN = _km2("a.w", "a.e", "a.s", "a.n")
+OVERLAP = f"""SELECT a.poly_id, 'X' || b.poly_id AS external_polygon_id, {_km2("greatest(a.w, b.w + 0.25)", "least(a.e, b.e + 0.25)", "greatest(a.s, b.s)", "least(a.n, b.n)")} AS area_overlap, {OWN} AS own, a.attr_population
         FROM squares a JOIN squares b ON a.w < b.e + 0.25 AND b.w + 0.25 < a.e AND a.s < b.n AND b.s < a.n"""
 
 
-@query("overlap_shares", f"SELECT poly_id, external_polygon_id, area_overlap, area_overlap / 0.25 AS area_share FROM ({OVERLAP})", r="area_overlap area_share", covers="C12")
+@query("overlap_shares", f"SELECT poly_id, external_polygon_id, area_overlap, area_overlap / own AS area_share FROM ({OVERLAP})", r="area_overlap area_share", covers="C12")
 def _(t):
-    w = spatial.overlap_weights(t.ringed, region_squares(t), "poly_id", "external_polygon_id", 0.0625)
+    w = spatial.overlap_weights(t.ringed, region_squares(t), "poly_id", "external_polygon_id", 0.5)
     return spatial.own_share(w, t.ringed, "poly_id")
 
 
-@query("density_of_outer_areas", f"SELECT external_polygon_id, sum(area_overlap * attr_population / 0.25) / sum(area_overlap) AS population_density FROM ({OVERLAP}) GROUP BY 1", r="population_density", covers="C13")
+@query("density_of_outer_areas", f"SELECT external_polygon_id, sum(area_overlap * attr_population / own) / sum(area_overlap) AS population_density FROM ({OVERLAP}) GROUP BY 1", r="population_density", covers="C13")
 def _(t):
-    w = spatial.overlap_weights(t.ringed, region_squares(t), "poly_id", "external_polygon_id", 0.0625)
+    w = spatial.overlap_weights(t.ringed, region_squares(t), "poly_id", "external_polygon_id", 0.5)
     return spatial.transfer_density(w, t.ringed, "poly_id", "external_polygon_id")
 
 
 @query("ranges_for_areas", f"""
-    WITH o AS ({OVERLAP}), dens AS (SELECT external_polygon_id, sum(area_overlap * attr_population / 0.25) / sum(area_overlap) AS pd FROM o GROUP BY 1),
+    WITH o AS ({OVERLAP}), dens AS (SELECT external_polygon_id, sum(area_overlap * attr_population / own) / sum(area_overlap) AS pd FROM o GROUP BY 1),
          f AS (SELECT poly_id, external_polygon_id, area_overlap * pd AS factor FROM o JOIN dens USING (external_polygon_id)),
          r AS (SELECT start_poly_id, date_time, sum(movement) AS v FROM movement GROUP BY 1, 2)
     SELECT d.date_time, p.poly_id, sum(factor * v) / sum(factor) FILTER (WHERE v IS NOT NULL) AS movement_change
     FROM (SELECT DISTINCT date_time FROM r) d CROSS JOIN polygons p JOIN f ON f.poly_id = p.poly_id
     LEFT JOIN r ON r.date_time = d.date_time AND 'X' || r.start_poly_id = f.external_polygon_id GROUP BY 1, 2""", d="date_time", r="movement_change", covers="K17 C12 C13")
 def _(t):
-    w = ranges.range_weights(t.ringed, region_squares(t), 0.0625)
+    w = ranges.range_weights(t.ringed, region_squares(t), 0.5)
     r = t.movement.groupBy(F.col("date_time").alias("ds"), F.concat(F.lit("X"), "start_poly_id").alias("external_polygon_id")).agg(
         F.sum("movement").alias("all_day_bing_tiles_visited_relative_change")
     )
@@ -141,7 +147,7 @@ def _(t):
     from wayflux.sources.testdata import square_wkt
 
     layer = t.polygons.select("poly_id", square_wkt(F.col("poly_lon") + 0.125, F.col("poly_lat"), 0.25).alias("geometry"))
-    layer = spatial.with_ring(layer.join(t.community_map.select("poly_id", "community_name"), "poly_id"))
+    layer = spatial.with_rings(layer.join(t.community_map.select("poly_id", "community_name"), "poly_id"))
     return spatial.intersecting_names(t.ringed, layer, "poly_id", "community_name", 0.25, "names")
 
 
@@ -167,7 +173,7 @@ def _(t):
     SELECT band, x1, y1, x2, y2 FROM band GROUP BY ALL HAVING count(*) % 2 = 1""", r="x1 y1 x2 y2", covers="D11")
 def _(t):
     band = F.when(F.col("community_id").isin("0", "1"), "west").otherwise("east").alias("band")
-    m = t.ringed.join(t.community_map.select("poly_id", "community_id"), "poly_id").select(band, "ring")
+    m = t.ringed.join(t.community_map.select("poly_id", "community_id"), "poly_id").select(band, "rings")
     return rules.outline(m, "band")
 
 
@@ -190,3 +196,65 @@ def _(t):
 
     places = agglomerate.by_radius(located_cases(t), t.polygons, None, None, 30.0)["places"]
     return describe_column(places, "poly_distance", ["poly_merged"])
+
+
+def _box(lon, lat, half: float):
+    def p(x, y):
+        return F.concat_ws(" ", x.cast("string"), y.cast("string"))
+
+    w, e, s, n = lon - half, lon + half, lat - half, lat + half
+    return F.concat(F.lit("("), F.concat_ws(", ", p(w, s), p(e, s), p(e, n), p(w, n), p(w, s)), F.lit(")"))
+
+
+def pierced(t):
+    """Areas of two parts: a square with a hole, and an island east of the middle of the hole."""
+    lon, lat = F.col("poly_lon"), F.col("poly_lat")
+    text = F.concat(F.lit("MULTIPOLYGON (("), _box(lon, lat, 0.25), F.lit(", "), _box(lon, lat, 0.125), F.lit("), ("), _box(lon + 0.0625, lat, 0.03125), F.lit("))"))
+    return t.polygons.withColumn("geometry", text)
+
+
+HOLE = "abs(x - poly_lon) <= 0.125 AND abs(y - poly_lat) <= 0.125"
+ISLAND = "abs(x - poly_lon - 0.0625) < 0.03125 AND abs(y - poly_lat) < 0.03125"
+PIERCED = f"""SELECT a.poly_id, 'X' || b.poly_id AS external_polygon_id, {" ".join(f"{sign} " + _km2(f"greatest(a.poly_lon + {dx} - {h}, b.w + 0.25)", f"least(a.poly_lon + {dx} + {h}, b.e + 0.25)", f"greatest(a.poly_lat - {h}, b.s)", f"least(a.poly_lat + {h}, b.n)") for sign, dx, h in (("", 0, 0.25), ("-", 0, 0.125), ("+", 0.0625, 0.03125)))} AS area_overlap
+        FROM squares a JOIN squares b ON a.w < b.e + 0.25 AND b.w + 0.25 < a.e AND a.s < b.n AND b.s < a.n"""
+
+
+@query("pierced_shapes", """
+    SELECT poly_id, 2 AS holes_and_parts_more, 0.25e0 - 0.0625e0 + 0.00390625e0 AS surface, poly_lon + 0.0625e0 * 0.00390625e0 / 0.19140625e0 AS lon, poly_lat AS lat, n
+    FROM polygons JOIN (SELECT poly_id, sum(num_cases) AS n FROM cases GROUP BY 1) USING (poly_id)""", r="surface lon lat", i="holes_and_parts_more", covers="I1 I4 A10")
+def _(t):
+    r = F.col("rings")
+    c = geo.centroid(r)
+    shapes = spatial.with_rings(pierced(t)).select("poly_id", (F.size(r) - 1).alias("holes_and_parts_more"), geo.area(r).alias("surface"), c["lon"].alias("lon"), c["lat"].alias("lat"))
+    return shapes.join(t.cases.groupBy("poly_id").agg(F.sum("num_cases").alias("n")), "poly_id")
+
+
+@query("cases_in_pierced_areas", f"""
+    SELECT CAST(ts AS DATE) AS date_time, poly_name AS location, poly_id, CAST(count(*) AS DOUBLE) AS num_cases, sum(value) AS num_weight
+    FROM (SELECT *, lon AS x, lat AS y FROM points) JOIN squares ON {IN_SQUARE} AND (NOT ({HOLE}) OR {ISLAND}) GROUP BY 1, 2, 3""", d="date_time", r="num_weight", covers="C7 J2 A10")
+def _(t):
+    return agglomerate.cases_by_geometry(located_cases(t), pierced(t))
+
+
+@query("pierced_overlap", f"SELECT poly_id, external_polygon_id, area_overlap FROM ({PIERCED})", r="area_overlap", covers="C12")
+def _(t):
+    return spatial.overlap_weights(spatial.with_rings(pierced(t)), region_squares(t), "poly_id", "external_polygon_id", 0.5)
+
+
+@query("users_meeting_pierced_areas", f"""
+    SELECT DISTINCT poly_id, user_id FROM (SELECT DISTINCT user_id, lon AS x, lat AS y FROM points) JOIN squares ON x + 0.03e0 >= w AND x - 0.03e0 <= e AND y + 0.03e0 >= s AND y - 0.03e0 <= n
+    AND NOT (abs(x - poly_lon) + 0.03e0 < 0.125 AND abs(y - poly_lat) + 0.03e0 < 0.125 AND NOT (abs(x - poly_lon - 0.0625) <= 0.06125e0 AND abs(y - poly_lat) <= 0.06125e0))""", covers="C10")
+def _(t):
+    """A small square around each user's place against areas with holes and islands."""
+    from wayflux.sources.testdata import square_wkt
+
+    u = t.points.select("user_id", "lon", "lat").distinct()
+    boxes = spatial.with_rings(u.select("user_id", square_wkt(F.col("lon"), F.col("lat"), 0.03).alias("geometry")))
+    return spatial.meeting_pairs(spatial.with_rings(pierced(t)), boxes, "poly_id", "user_id", 0.25)
+
+
+@query("merged_geometry_read_back", "SELECT community_id, count(*) AS parts, sum((e - w) * (n - s)) AS surface FROM squares JOIN community_map USING (poly_id) GROUP BY 1", r="surface", i="parts", covers="D11 A10 I4")
+def _(t):
+    df = t.polygons.join(t.community_map.select("poly_id", "community_id"), "poly_id")
+    merged = rules.agglomerate(df, [rules.Rule("geometry", "merge_geometry")], ["community_id"], ["geometry"])
+    return spatial.with_rings(merged).select("community_id", F.size("rings").alias("parts"), geo.area(F.col("rings")).alias("surface"))

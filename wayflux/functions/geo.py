@@ -1,4 +1,4 @@
-"""Geometry column functions on WKT text and on rings (ARRAY<STRUCT<lon,lat>>)."""
+"""Geometry column functions on WKT text and on the rings of a shape (ARRAY<ARRAY<STRUCT<lon,lat>>>)."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 KM_PER_DEGREE = 110.567
 EARTH_RADIUS_KM = 6371.0
-_NUM = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?"
+GRID_RADIUS_KM = 6371.228  # sphere of the equal-area plane
+_NUM = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?"
 
 
 def line_point(wkt: Column, pos: int, axis: str) -> Column:
@@ -17,21 +18,28 @@ def line_point(wkt: Column, pos: int, axis: str) -> Column:
     return F.get(part, F.lit(0 if axis == "lon" else 1)).cast("double")
 
 
-def ring_from_wkt(wkt: Column) -> Column:
-    """Outer ring of a POLYGON text; the text ends the ring at its first ')'."""
-    outer = F.regexp_extract(wkt, r"\(+([^()]+)\)", 1)
-    pairs = F.regexp_extract_all(outer, F.lit(f"{_NUM} {_NUM}"), F.lit(0))
+def rings_from_wkt(wkt: Column) -> Column:
+    """All rings of a POLYGON or MULTIPOLYGON text: parts counter-clockwise, holes clockwise.
+
+    A ring that opens a part follows a second '('; the others of the part are holes. The order
+    lets areas and centroids be signed sums over all edges. A null text gives null, an empty
+    shape or text without coordinates an empty array.
+    """
+    texts = F.regexp_extract_all(wkt, F.lit(r"(\(\s*)?\([^()]+\)"), F.lit(0))
+    rings = F.transform(texts, lambda t, i: F.struct((t.rlike(r"^\(\s*\(") | (i == 0)).alias("part"), _points(t).alias("points")))
+    rings = F.filter(rings, lambda r: F.size(r["points"]) > 1)
     return F.transform(
-        pairs,
-        lambda p: F.struct(
-            F.element_at(F.split(p, " "), 1).cast("double").alias("lon"),
-            F.element_at(F.split(p, " "), 2).cast("double").alias("lat"),
-        ),
+        rings, lambda r: F.when((_twice_area(_segments(r["points"]), r["points"][0]) > 0) == r["part"], r["points"]).otherwise(F.reverse(r["points"]))
     )
 
 
-def edges_of(ring: Column) -> Column:
-    """Segments of a closed ring as structs x1,y1,x2,y2."""
+def _points(text: Column) -> Column:
+    pairs = F.regexp_extract_all(text, F.lit(rf"{_NUM}\s+{_NUM}"), F.lit(0))
+    split = F.transform(pairs, lambda p: F.split(p, r"\s+"))
+    return F.transform(split, lambda p: F.struct(p[0].cast("double").alias("lon"), p[1].cast("double").alias("lat")))
+
+
+def _segments(ring: Column) -> Column:
     return F.zip_with(
         F.slice(ring, F.lit(1), F.size(ring) - 1),
         F.slice(ring, F.lit(2), F.size(ring) - 1),
@@ -41,8 +49,23 @@ def edges_of(ring: Column) -> Column:
     )
 
 
-def inside_ring(lon: Column, lat: Column, ring: Column) -> Column:
-    """Even-odd ray test, points on the border left out."""
+def _twice_area(edges: Column, origin: Column) -> Column:
+    """Signed, taken about `origin` to keep the digits."""
+    x0, y0 = origin["lon"], origin["lat"]
+    return F.aggregate(
+        edges,
+        F.lit(0.0),
+        lambda acc, e: acc + (e["x1"] - x0) * (e["y2"] - y0) - (e["x2"] - x0) * (e["y1"] - y0),
+    )
+
+
+def edges_of(rings: Column) -> Column:
+    """Segments of all closed rings as structs x1,y1,x2,y2."""
+    return F.flatten(F.transform(rings, _segments))
+
+
+def inside(lon: Column, lat: Column, edges: Column) -> Column:
+    """Even-odd ray test over the edges of a shape with parts and holes, borders left out."""
     def crosses(e):
         at = e["x1"] + (lat - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0))
         return ((e["y1"] > lat) != (e["y2"] > lat)) & (lon < at)
@@ -55,13 +78,17 @@ def inside_ring(lon: Column, lat: Column, ring: Column) -> Column:
             & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         )
 
-    odd = F.size(F.filter(edges_of(ring), crosses)) % 2 == 1
-    return odd & ~F.exists(edges_of(ring), on_edge)
+    odd = F.size(F.filter(edges, crosses)) % 2 == 1
+    return odd & ~F.exists(edges, on_edge)
+
 
+def _origin(rings: Column) -> Column:
+    return F.get(F.get(rings, F.lit(0)), F.lit(0))
 
-def centroid(ring: Column) -> Column:
-    """Planar centroid (shoelace), taken about the first vertex to keep the digits."""
-    x0, y0 = ring[0]["lon"], ring[0]["lat"]
+
+def centroid(rings: Column) -> Column:
+    """Planar centroid of the whole shape (shoelace), taken about the first vertex to keep the digits."""
+    x0, y0 = _origin(rings)["lon"], _origin(rings)["lat"]
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
     def step(acc, e):
@@ -72,7 +99,7 @@ def centroid(ring: Column) -> Column:
         )
 
     return F.aggregate(
-        edges_of(ring),
+        edges_of(rings),
         zero,
         step,
         lambda s: F.struct(
@@ -81,14 +108,43 @@ def centroid(ring: Column) -> Column:
     )
 
 
-def ring_area(ring: Column) -> Column:
-    x0, y0 = ring[0]["lon"], ring[0]["lat"]
-    twice = F.aggregate(
-        edges_of(ring),
-        F.lit(0.0),
-        lambda acc, e: acc + (e["x1"] - x0) * (e["y2"] - y0) - (e["x2"] - x0) * (e["y1"] - y0),
-    )
-    return F.abs(twice) / 2
+def area(rings: Column) -> Column:
+    """Area of all parts less their holes, in the square of the coordinates' unit."""
+    return _twice_area(edges_of(rings), _origin(rings)) / 2
+
+
+def equal_area(rings: Column) -> Column:
+    """Rings in km on the cylindrical equal-area plane: areas there are areas on the sphere."""
+    def project(p):
+        return F.struct((GRID_RADIUS_KM * F.radians(p["lon"])).alias("lon"), (GRID_RADIUS_KM * F.sin(F.radians(p["lat"]))).alias("lat"))
+
+    return F.transform(rings, lambda r: F.transform(r, project))
+
+
+def shared_area(a: Column, b: Column) -> Column:
+    """Exact area of the overlap of two shapes given by the edges of their turned rings.
+
+    A shape is the signed sum of the regions above its edges, so the overlap is the signed sum,
+    over pairs of edges, of the region above both within their common span.
+    """
+    top = F.array_max(F.transform(a, lambda e: F.greatest(e["y1"], e["y2"])))
+
+    def height(e, x):
+        return e["y1"] + (x - e["x1"]) * (e["y2"] - e["y1"]) / F.nullif(e["x2"] - e["x1"], F.lit(0.0))
+
+    def above(e, f):
+        lo = F.greatest(F.least(e["x1"], e["x2"]), F.least(f["x1"], f["x2"]))
+        hi = F.least(F.greatest(e["x1"], e["x2"]), F.greatest(f["x1"], f["x2"]))
+        el, er, fl, fr = height(e, lo), height(e, hi), height(f, lo), height(f, hi)
+        dl, dr = F.abs(el - fl), F.abs(er - fr)
+        # the mean of the larger line is the mean of both plus half the mean gap
+        cut = (dl * dl + dr * dr) / F.nullif(dl + dr, F.lit(0.0)) / 2
+        gap = F.when((el - fl) * (er - fr) >= 0, (dl + dr) / 2).otherwise(cut)
+        mean = (el + er + fl + fr) / 4 + gap / 2
+        sign = F.signum(e["x2"] - e["x1"]) * F.signum(f["x2"] - f["x1"])
+        return F.when(hi > lo, sign * (hi - lo) * (top - mean)).otherwise(0.0)
+
+    return F.aggregate(a, F.lit(0.0), lambda acc, e: acc + F.aggregate(b, F.lit(0.0), lambda s, f: s + above(e, f)))
 
 
 def planar_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:

@@ -235,9 +235,9 @@ def agglomerate(df: DataFrame, rules: list[Rule], keys: list[str], cols: list[st
     return out.select(*keys, *cols)
 
 
-def outline(areas: DataFrame, key: str, ring: str = "ring") -> DataFrame:
+def outline(areas: DataFrame, key: str, rings: str = "rings") -> DataFrame:
     """Border segments of each group of areas: segments shared by two members cancel out."""
-    segs = areas.select(key, F.explode(geo.edges_of(F.col(ring))).alias("s"))
+    segs = areas.select(key, F.explode(geo.edges_of(F.col(rings))).alias("s"))
     a = F.struct(F.col("s.x1").alias("x"), F.col("s.y1").alias("y"))
     b = F.struct(F.col("s.x2").alias("x"), F.col("s.y2").alias("y"))
     ends = segs.select(key, F.least(a, b).alias("p"), F.greatest(a, b).alias("q"))

@@ -9,24 +9,67 @@ from wayflux.functions import geo
 from wayflux.session import cut_lineage, salted_join
 
 
-def with_ring(areas: DataFrame, wkt: str = "geometry") -> DataFrame:
-    return areas.withColumn("ring", geo.ring_from_wkt(F.col(wkt)))
+def with_rings(areas: DataFrame, wkt: str = "geometry") -> DataFrame:
+    return areas.withColumn("rings", geo.rings_from_wkt(F.col(wkt)))
 
 
 def _span(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(geo.cell(lo, size), geo.cell(hi, size))
 
 
-def covering_cells(areas: DataFrame, size: float, ring: str = "ring", margin: float = 0.0) -> DataFrame:
+def covering_cells(areas: DataFrame, size: float, rings: str = "rings") -> DataFrame:
     """Rows of `areas` repeated for each grid cell their bounding box meets."""
-    lon = F.transform(ring, lambda p: p["lon"])
-    lat = F.transform(ring, lambda p: p["lat"])
+    lon = F.transform(F.flatten(rings), lambda p: p["lon"])
+    lat = F.transform(F.flatten(rings), lambda p: p["lat"])
     return (
-        areas.withColumn("cx", F.explode(_span(F.array_min(lon) - margin, F.array_max(lon) + margin, size)))
-        .withColumn("cy", F.explode(_span(F.array_min(lat) - margin, F.array_max(lat) + margin, size)))
+        areas.withColumn("cx", F.explode(_span(F.array_min(lon), F.array_max(lon), size)))
+        .withColumn("cy", F.explode(_span(F.array_min(lat), F.array_max(lat), size)))
     )
 
 
+def edges_by_cell(areas: DataFrame, keep: list[str], size: float) -> DataFrame:
+    """Rows of `areas` repeated per grid cell, with `_edges`: all that the ray test of a point in it needs.
+
+    A ray east meets only edges of the cell's row that do not end west of the cell, and an
+    area only reaches from the first to the last of them.
+    """
+    slack = size * 1e-9  # floor(v / size) and cell * size may differ in the last digit
+    low, high = F.col("cy") * size - slack, (F.col("cy") + 1) * size + slack
+    least_x = F.array_min(F.transform("_edges", lambda e: F.least(e["x1"], e["x2"])))
+    most_x = F.array_max(F.transform("_edges", lambda e: F.greatest(e["x1"], e["x2"])))
+    least_y = F.array_min(F.transform("_edges", lambda e: F.least(e["y1"], e["y2"])))
+    most_y = F.array_max(F.transform("_edges", lambda e: F.greatest(e["y1"], e["y2"])))
+    row = F.filter("_edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high))
+    east = F.filter("_edges", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("cx") * size - slack)
+    return (
+        areas.select(*keep, geo.edges_of(F.col("rings")).alias("_edges"))
+        .withColumn("cy", F.explode(_span(least_y, most_y, size)))
+        .withColumn("_edges", row)
+        .filter(F.size("_edges") > 0)
+        .withColumn("cx", F.explode(_span(least_x, most_x, size)))
+        .withColumn("_edges", east)
+    )
+
+
+def _segment_cells(areas: DataFrame, key: Column, size: float, margin: float = 0.0) -> DataFrame:
+    """One row (key, seg, cx, cy) per border segment and cell it may pass, widened by a margin."""
+    segs = areas.select(key, F.explode(geo.edges_of(F.col("rings"))).alias("seg"))
+    x1, x2, y1, y2 = (F.col(f"seg.{c}") for c in ("x1", "x2", "y1", "y2"))
+    return segs.withColumn("cx", F.explode(_span(F.least(x1, x2) - margin, F.greatest(x1, x2) + margin, size))).withColumn(
+        "cy", F.explode(_span(F.least(y1, y2) - margin, F.greatest(y1, y2) + margin, size))
+    )
+
+
+def _ring_starts(areas: DataFrame, key: Column) -> DataFrame:
+    return areas.select(key, F.explode("rings").alias("_r")).select("*", F.col("_r")[0]["lon"].alias("lon"), F.col("_r")[0]["lat"].alias("lat")).drop("_r")
+
+
+def _join_cells(many: DataFrame, few: DataFrame, salts: int = 8) -> DataFrame:
+    """Join on the cell; rows of a hot cell are dealt to several tasks, the other side repeated for each."""
+    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int"))
+    return dealt.join(few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["cx", "cy", "_salt"]).drop("_salt")
+
+
 def points_in_areas(
     points: DataFrame, areas: DataFrame, lon: str, lat: str, keep: list[str], size: float = 0.25
 ) -> DataFrame:
@@ -34,12 +77,12 @@ def points_in_areas(
 
     `keep` names the area columns to add. Callers sum rows per coordinate first.
     """
-    cells = covering_cells(areas.select(*dict.fromkeys([*keep, "ring"])), size).withColumnRenamed("ring", "_ring")
+    cells = edges_by_cell(areas, list(dict.fromkeys(keep)), size)
     keyed = points.withColumn("cx", geo.cell(F.col(lon), size)).withColumn("cy", geo.cell(F.col(lat), size))
     return (
-        keyed.join(cells, ["cx", "cy"])
-        .filter(geo.inside_ring(F.col(lon), F.col(lat), F.col("_ring")))
-        .drop("cx", "cy", "_ring")
+        _join_cells(keyed, cells)
+        .filter(geo.inside(F.col(lon), F.col(lat), F.col("_edges")))
+        .drop("cx", "cy", "_edges")
     )
 
 
@@ -63,7 +106,7 @@ def _closest_in_reach(coords: DataFrame, centres: DataFrame, reach_deg: float) -
     c = centres.select(F.col("poly_id").alias("_id"), F.col("poly_lon").alias("_lon"), F.col("poly_lat").alias("_lat"))
     cells = c.withColumn("cx", geo.cell(F.col("_lon"), reach_deg)).withColumn("cy", geo.cell(F.col("_lat"), reach_deg))
     gap = geo.planar_km(F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat"))
-    pairs = _neighbourhood(coords, "lon", "lat", reach_deg).join(cells, ["cx", "cy"])
+    pairs = _join_cells(_neighbourhood(coords, "lon", "lat", reach_deg), cells)
     return (
         pairs.withColumn("poly_distance", gap)
         .filter(F.col("poly_distance") <= reach_deg * geo.KM_PER_DEGREE)
@@ -82,16 +125,22 @@ def nearest_centre(coords: DataFrame, centres: DataFrame, first_reach: float = 0
     """Closest centre at any distance, by widening the reach for coordinates not served yet.
 
     A hit within the reach is exact. Each round doubles the reach and takes only what is
-    left, so the number of rounds grows with the log of the extent.
+    left, so the number of rounds grows with the log of the extent. Coordinates or centres
+    that are null or not finite take no part; without centres nothing is returned.
     """
-    todo = coords.select("lon", "lat").distinct()
-    centres = centres.select("poly_id", "poly_lon", "poly_lat").distinct()
+    def finite(c):
+        return F.abs(c) < float("inf")
+
+    todo = coords.select("lon", "lat").filter(finite(F.col("lon")) & finite(F.col("lat"))).distinct()
+    centres = centres.select("poly_id", "poly_lon", "poly_lat").filter(finite(F.col("poly_lon")) & finite(F.col("poly_lat"))).distinct()
+    if centres.isEmpty():
+        return _closest_in_reach(todo, centres, first_reach)
     reach, done = first_reach, None
     while True:
         hit = cut_lineage(_closest_in_reach(todo, centres, reach))
         done = hit if done is None else done.unionByName(hit)
         todo = cut_lineage(todo.join(hit, ["lon", "lat"], "left_anti"))
-        if reach > 512 or todo.isEmpty():
+        if todo.isEmpty():
             return done
         reach *= 2
 
@@ -101,10 +150,7 @@ def touching_areas(areas: DataFrame, size: float = 0.25, key: str = "poly_id") -
 
     Segments, not areas, are the unit: each is keyed by the cells it passes through.
     """
-    segs = areas.select(F.col(key).alias("id"), F.explode(geo.edges_of(F.col("ring"))).alias("seg"))
-    cells = segs.withColumn("cx", F.explode(_span(F.least("seg.x1", "seg.x2"), F.greatest("seg.x1", "seg.x2"), size))).withColumn(
-        "cy", F.explode(_span(F.least("seg.y1", "seg.y2"), F.greatest("seg.y1", "seg.y2"), size))
-    )
+    cells = _segment_cells(areas, F.col(key).alias("id"), size)
     other = cells.select(F.col("id").alias("id2"), F.col("seg").alias("seg2"), "cx", "cy")
     pairs = cells.join(other, ["cx", "cy"]).filter("id <> id2")
     met = (
@@ -113,7 +159,7 @@ def touching_areas(areas: DataFrame, size: float = 0.25, key: str = "poly_id") -
         .agg(F.max(geo.segments_cross(F.col("seg"), F.col("seg2"))).alias("crossing"))
     )
     mids = cells.select("id", F.col("seg.x1").alias("lon"), F.col("seg.y1").alias("lat")).distinct()
-    inner = points_in_areas(mids, areas.select(F.col(key).alias("_other"), "ring"), "lon", "lat", ["_other"], size)
+    inner = points_in_areas(mids, areas.select(F.col(key).alias("_other"), "rings"), "lon", "lat", ["_other"], size)
     nested = inner.filter(F.col("id") != F.col("_other")).select("id", F.col("_other").alias("id2")).distinct()
     nested = nested.unionByName(nested.select(F.col("id2").alias("id"), F.col("id").alias("id2")))
     return (
@@ -123,31 +169,37 @@ def touching_areas(areas: DataFrame, size: float = 0.25, key: str = "poly_id") -
     )
 
 
-def rasterise(areas: DataFrame, key: str, size: float) -> DataFrame:
-    """Grid cells whose centre lies inside an area."""
-    cells = covering_cells(areas.select(key, "ring"), size)
-    cx, cy = (F.col("cx") + 0.5) * size, (F.col("cy") + 0.5) * size
-    return cells.filter(geo.inside_ring(cx, cy, F.col("ring"))).select(key, "cx", "cy")
-
-
 def overlap_weights(areas: DataFrame, outer: DataFrame, key: str, outer_key: str, size: float) -> DataFrame:
-    """Shared area of each overlapping pair, in units of the ring's coordinates squared.
+    """Shared area in km² of each overlapping pair, exact on the equal-area plane.
 
-    Both layers are cut into equal cells and joined on the cell; the error shrinks with `size`.
+    Pairs whose boxes share a cell of `size` degrees are found first; a row then holds the
+    edges of two shapes. Pairs that only touch are left out: less than 1e-9 of the smaller
+    area is taken as rounding.
     """
-    a, b = rasterise(areas, key, size), rasterise(outer, outer_key, size)
-    return a.join(b, ["cx", "cy"]).groupBy(key, outer_key).agg((F.count("*") * (size * size)).alias("area_overlap"))
+    def prepared(df, k, edges, whole):
+        flat = geo.equal_area(F.col("rings"))
+        return df.select(k, geo.edges_of(flat).alias(edges), geo.area(flat).alias(whole))
+
+    near = covering_cells(areas.select(key, "rings"), size).select(key, "cx", "cy")
+    near = near.join(covering_cells(outer.select(outer_key, "rings"), size).select(outer_key, "cx", "cy"), ["cx", "cy"])
+    both = (
+        near.select(key, outer_key).distinct()
+        .join(prepared(areas, key, "_a", "_wa"), key)
+        .join(prepared(outer, outer_key, "_b", "_wb"), outer_key)
+    )
+    found = both.select(key, outer_key, geo.shared_area(F.col("_a"), F.col("_b")).alias("area_overlap"), F.least("_wa", "_wb").alias("_w"))
+    return found.filter(F.col("area_overlap") > 1e-9 * F.col("_w")).drop("_w")
 
 
 def own_share(weights: DataFrame, areas: DataFrame, key: str) -> DataFrame:
     """Overlap as a share of the area itself."""
-    own = areas.select(key, geo.ring_area(F.col("ring")).alias("_area"))
+    own = areas.select(key, geo.area(geo.equal_area(F.col("rings"))).alias("_area"))
     return weights.join(own, key).withColumn("area_share", F.col("area_overlap") / F.col("_area")).drop("_area")
 
 
 def transfer_density(weights: DataFrame, areas: DataFrame, key: str, outer_key: str) -> DataFrame:
     """Population density of outer areas from the areas they overlap."""
-    dens = areas.select(key, (F.col("attr_population") / geo.ring_area(F.col("ring"))).alias("_d"))
+    dens = areas.select(key, (F.col("attr_population") / geo.area(geo.equal_area(F.col("rings")))).alias("_d"))
     return (
         weights.join(dens, key)
         .groupBy(outer_key)
@@ -155,22 +207,26 @@ def transfer_density(weights: DataFrame, areas: DataFrame, key: str, outer_key:
     )
 
 
+def meeting_pairs(areas: DataFrame, layer: DataFrame, key: str, name: str, size: float) -> DataFrame:
+    """Distinct (key, name) pairs whose shapes share a point.
+
+    Either two border segments meet, or a ring of one begins inside the other.
+    """
+    layer = layer.select(F.col(name).alias("_n"), "rings")
+    left = _segment_cells(areas, F.col(key), size)
+    right = _segment_cells(layer, F.col("_n"), size).withColumnRenamed("seg", "seg2")
+    met = _join_cells(left, right).filter(geo.segments_meet(F.col("seg"), F.col("seg2"))).select(key, "_n")
+    within = points_in_areas(_ring_starts(areas, F.col(key)), layer, "lon", "lat", ["_n"], size).select(key, "_n")
+    around = points_in_areas(_ring_starts(layer, F.col("_n")), areas, "lon", "lat", [key], size).select(key, "_n")
+    return met.unionByName(within).unionByName(around).distinct().withColumnRenamed("_n", name)
+
+
 def intersecting_names(
     areas: DataFrame, layer: DataFrame, key: str, name: str, size: float, out: str
 ) -> DataFrame:
     """Per area, the distinct names of layer areas that meet it, sorted and joined by ', '."""
-    left = covering_cells(areas.select(F.col(key), F.col("ring").alias("r1")), size, "r1")
-    right = covering_cells(layer.select(F.col(name).alias("_n"), F.col("ring").alias("r2")), size, "r2")
-    hit = (
-        F.exists(
-            geo.edges_of(F.col("r1")),
-            lambda a: F.exists(geo.edges_of(F.col("r2")), lambda b: geo.segments_meet(a, b)),
-        )
-        | geo.inside_ring(F.col("r1")[0]["lon"], F.col("r1")[0]["lat"], F.col("r2"))
-        | geo.inside_ring(F.col("r2")[0]["lon"], F.col("r2")[0]["lat"], F.col("r1"))
-    )
-    found = left.join(right, ["cx", "cy"]).filter(hit).select(key, "_n").distinct()
-    return found.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("_n")), ", ").alias(out))
+    found = meeting_pairs(areas, layer.select(F.col(name).alias("_name"), "rings"), key, "_name", size)
+    return found.groupBy(key).agg(F.array_join(F.array_sort(F.collect_list("_name")), ", ").alias(out))
 
 
 def circles_meeting_areas(places: DataFrame, areas: DataFrame, key: str, name: str, radius_m: float, size: float) -> DataFrame:
@@ -179,8 +235,9 @@ def circles_meeting_areas(places: DataFrame, areas: DataFrame, key: str, name: s
     The distance from the place to each border segment is taken in a local plane.
     """
     margin = radius_m / 1000.0 / geo.KM_PER_DEGREE * 1.2
-    cells = covering_cells(areas.select(F.col(name).alias("_n"), "ring"), size, margin=margin)
-    keyed = places.select(key, "lon", "lat").withColumn("cx", geo.cell(F.col("lon"), size)).withColumn("cy", geo.cell(F.col("lat"), size))
+    named = areas.select(F.col(name).alias("_n"), "rings")
+    spots = places.select(key, "lon", "lat")
+    keyed = spots.withColumn("cx", geo.cell(F.col("lon"), size)).withColumn("cy", geo.cell(F.col("lat"), size))
     kx = F.cos(F.radians("lat")) * geo.KM_PER_DEGREE
 
     def near(e):
@@ -192,8 +249,8 @@ def circles_meeting_areas(places: DataFrame, areas: DataFrame, key: str, name: s
         px, py = ax + t * dx, ay + t * dy
         return px * px + py * py <= (radius_m / 1000.0) ** 2
 
-    touch = F.exists(geo.edges_of(F.col("ring")), near) | geo.inside_ring(F.col("lon"), F.col("lat"), F.col("ring"))
-    return keyed.join(cells, ["cx", "cy"]).filter(touch).select(key, "_n").distinct()
+    close = _join_cells(keyed, _segment_cells(named, F.col("_n"), size, margin)).filter(near(F.col("seg"))).select(key, "_n")
+    return close.unionByName(points_in_areas(spots, named, "lon", "lat", ["_n"], size).select(key, "_n")).distinct()
 
 
 def areas_on_line(areas: DataFrame, lines: DataFrame, key: str, size: float, buffer_deg: float = 0.0) -> DataFrame:
@@ -205,10 +262,9 @@ def areas_on_line(areas: DataFrame, lines: DataFrame, key: str, size: float, buf
     cut = (
         lines.withColumn("cx", F.explode(_span(F.least("x1", "x2") - buffer_deg, F.greatest("x1", "x2") + buffer_deg, size)))
         .withColumn("cy", F.explode(_span(F.least("y1", "y2") - buffer_deg, F.greatest("y1", "y2") + buffer_deg, size)))
-        .select("line_id", "preference", "cx", "cy", seg.alias("seg"))
+        .select("line_id", "preference", "cx", "cy", seg.alias("seg2"))
     )
-    cells = covering_cells(areas.select(key, "ring"), size)
-    seg_c = F.col("seg")
+    seg_c = F.col("seg2")
     if buffer_deg > 0:
         def gap2(px, py, e):
             dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
@@ -230,10 +286,11 @@ def areas_on_line(areas: DataFrame, lines: DataFrame, key: str, size: float, buf
         def close(e):
             return geo.segments_meet(e, seg_c)
 
-    hit = F.exists(geo.edges_of(F.col("ring")), close) | geo.inside_ring(F.col("seg.x1"), F.col("seg.y1"), F.col("ring"))
+    border = _join_cells(cut, _segment_cells(areas, F.col(key), size)).filter(close(F.col("seg"))).select(key, "preference", "line_id")
+    starts = lines.select("line_id", "preference", F.col("x1").alias("lon"), F.col("y1").alias("lat"))
+    started = points_in_areas(starts, areas, "lon", "lat", [key], size).select(key, "preference", "line_id")
     return (
-        cells.join(cut, ["cx", "cy"])
-        .filter(hit)
+        border.unionByName(started)
         .groupBy(key)
         .agg(F.min(F.struct("preference", "line_id")).alias("m"))
         .select(key, "m.line_id")

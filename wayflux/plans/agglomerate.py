@@ -14,7 +14,7 @@ from wayflux.session import cut_lineage
 
 def check_geometry(areas: DataFrame) -> None:
     if "geometry" not in areas.columns:
-        raise ValueError("areas need a geometry column with POLYGON text")
+        raise ValueError("areas need a geometry column with POLYGON or MULTIPOLYGON text")
 
 
 def cases_by_geometry(cases: DataFrame, areas: DataFrame, size: float = 0.25) -> DataFrame:
@@ -25,7 +25,7 @@ def cases_by_geometry(cases: DataFrame, areas: DataFrame, size: float = 0.25) ->
     check_geometry(areas)
     nums = counters(cases)
     daily = cases.groupBy("date_time", "lon", "lat").agg(*[F.sum(c).alias(c) for c in nums])
-    placed = spatial.points_in_areas(daily, spatial.with_ring(areas), "lon", "lat", ["poly_id", "poly_name"], size)
+    placed = spatial.points_in_areas(daily, spatial.with_rings(areas), "lon", "lat", ["poly_id", "poly_name"], size)
     return placed.groupBy("date_time", F.col("poly_name").alias("location"), "poly_id").agg(*[F.sum(c).alias(c) for c in nums])
 
 
@@ -36,7 +36,7 @@ def flows_by_geometry(tiles: DataFrame, areas: DataFrame, known: DataFrame | Non
     restricts both ends to areas that have cases.
     """
     check_geometry(areas)
-    ringed = spatial.with_ring(areas)
+    ringed = spatial.with_rings(areas)
     ends = ["start_movement_lon", "start_movement_lat", "end_movement_lon", "end_movement_lat"]
     daily = tiles.groupBy(dates.round_to_day(F.col("date_time")).alias("date_time"), *ends).agg(F.sum("n_crisis").alias("movement"))
     a = spatial.points_in_areas(daily, ringed, ends[0], ends[1], ["poly_id"], size).withColumnRenamed("poly_id", "start_poly_id")

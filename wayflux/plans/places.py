@@ -105,7 +105,7 @@ def merge_places(places: DataFrame, radius_m: float = 200.0) -> DataFrame:
 def enrich_places(places: DataFrame, layers: dict[str, DataFrame], uses: DataFrame, use_classes: list[str], radius_m: float = 200.0, size: float = 0.25) -> DataFrame:
     """Names of the areas of each layer that meet a place's circle, and land-use names by class.
 
-    layers: column → areas(name, ring); uses(name, class, ring). Ranks by total, largest first.
+    layers: column → areas(name, rings); uses(name, class, rings). Ranks by total, largest first.
     """
     out = places
     for col, layer in layers.items():

@@ -12,7 +12,7 @@ from wayflux.operators import spatial
 def range_weights(areas: DataFrame, outer: DataFrame, size: float, by_density: bool = True) -> DataFrame:
     """Weight of each outer area in each area: shared surface, times density where known.
 
-    areas(poly_id, ring[, attr_population]), outer(external_polygon_id, ring).
+    areas(poly_id, rings[, attr_population]), outer(external_polygon_id, rings).
     """
     w = spatial.overlap_weights(areas, outer, "poly_id", "external_polygon_id", size)
     if by_density and "attr_population" in areas.columns:
