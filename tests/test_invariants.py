@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from wayflux.functions import geo, special
-from wayflux.operators import ranking, spatial
+from wayflux.operators import ranking, spatial, windows
 from wayflux.operators.cover import greedy_heads
 from wayflux.plans import agglomerate, epi, forecast, graphs, places, series, shape
 from wayflux.session import salted_join
@@ -139,20 +139,18 @@ def test_page_rank_sums_to_one_and_matches_numpy(spark):
     ids, w = ["a", "b", "c", "d", "alone"], [1.0, 0.0, 1.0, 0.0, 2.0]
     nodes = spark.createDataFrame([("h", i, x) for i, x in zip(ids, w)], "hour string, identifier string, weight double")
     edges = spark.createDataFrame([("h", *x) for x in e], "hour string, id1 string, id2 string, weight double")
-    got = {r.identifier: r.centrality for r in graphs.personalised_rank(nodes, edges, ["hour"], 30, rows_per_task=1).collect()}
+    got = {r.identifier: r.centrality for r in graphs.personalised_rank(nodes, edges, ["hour"], rows_per_task=1).collect()}
     m = np.zeros((5, 5))
     for a, b, x in e:
         i, j = ids.index(a), ids.index(b)
         m[i, j] += x
         m[j, i] += x
     reset = np.array(w) / sum(w)
-    r = reset.copy()
-    for _ in range(30):
-        s = m.sum(axis=1)
-        flow = (m / np.where(s > 0, s, 1)[:, None]).T @ r
-        r = 0.15 * reset + 0.85 * (flow + r[s == 0].sum() * reset)
+    s = m.sum(axis=1)
+    walk = (m / np.where(s > 0, s, 1)[:, None]).T + np.outer(reset, s == 0)
+    r = np.linalg.solve(np.eye(5) - 0.85 * walk, 0.15 * reset)
     assert abs(sum(got.values()) - 1) < 1e-9
-    assert np.allclose([got[i] for i in ids], r)
+    assert np.allclose([got[i] for i in ids], r, rtol=0, atol=1e-12)
 
 
 def test_communities_split_two_groups(spark):
@@ -169,6 +167,49 @@ def test_communities_split_two_groups(spark):
     assert graphs.modularity(edges, lab).first()[0] >= graphs.modularity(edges, single).first()[0]
 
 
+def test_communities_merge_by_levels(spark):
+    """A ring of triangles: moves of single nodes end with the triangles, whole ones then merge."""
+    rows = [(f"{c:02}{i}", f"{c:02}{j}", 1.0) for c in range(12) for i in range(3) for j in range(i + 1, 3)]
+    rows += [(f"{c:02}0", f"{(c + 1) % 12:02}1", 1.0) for c in range(12)]
+    edges = spark.createDataFrame(rows, "id1 string, id2 string, weight double")
+    ids = spark.createDataFrame([(f"{c:02}{i}",) for c in range(12) for i in range(3)], "id string")
+    triangles = ids.select("id", F.substring("id", 1, 2).alias("label"))
+    lab = graphs.detect_communities(edges, ids, patience=1)
+    assert graphs.modularity(edges, lab).first()[0] > graphs.modularity(edges, triangles).first()[0] + 0.01
+
+
+def _plain_repair(v, variant):
+    """Every pass over the whole series, as often as needed; None where it never settles."""
+    v, seen = list(v), set()
+    while any(v[i] > v[i + 1] for i in range(1, len(v) - 1)):
+        if tuple(v) in seen:
+            return None
+        seen.add(tuple(v))
+        for i in range(1, len(v) - 1):
+            if v[i] > v[i + 1]:
+                middle = (v[i - 1] + v[i + 1]) // 2
+                if variant == "look_ahead" and i + 2 < len(v) and v[i] <= v[i + 2]:
+                    v[i + 1] = (v[i] + v[i + 2]) // 2
+                else:
+                    v[i] = v[i + 1] if variant == "midpoint_or_next" and middle == v[i] else middle
+    return v
+
+
+def test_repair_matches_plain_passes(spark):
+    rng = np.random.default_rng(9)
+    runs = [np.cumsum(rng.integers(-3, 9, rng.integers(1, 25))).tolist() for _ in range(60)] + [[10, 5, 3], [], [4]]
+    df = spark.createDataFrame([(k, i, float(x)) for k, v in enumerate(runs) for i, x in enumerate(v)], "k int, t int, v double")
+    for variant in ("midpoint", "midpoint_or_next", "look_ahead"):
+        got = {}
+        for r in windows.repair_cumulative(df, ["k"], "t", "v", variant).orderBy("k", "t").collect():
+            got.setdefault(r.k, []).append(r.v)
+        for k, v in enumerate(runs):
+            want = _plain_repair(v, variant)
+            if want is not None:
+                assert got.get(k, []) == want
+            assert got.get(k, [])[1:] == sorted(got.get(k, [])[1:])
+
+
 def test_rt_grid():
     grid, post = epi.rt_posteriors(np.round(10 * 1.1 ** np.arange(30)) + 1)
     assert np.allclose(post.sum(axis=1), 1)

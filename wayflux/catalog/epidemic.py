@@ -121,7 +121,7 @@ def _(t):
 
 @query("similar_areas", covers="K9 F2")
 def _(t):
-    return series.closest_neighbours(t.cases, t.movement, "0", k=None, stretch=400, smooth_days=5)
+    return series.closest_neighbours(t.cases, t.movement, "0", k=None, smooth_days=5)
 
 
 @query("similar_users", covers="K9")

@@ -7,7 +7,7 @@ from wayflux.operators import aggregates, rules
 from wayflux.plans import agglomerate, graphs, places, shape
 from wayflux.session import cut_lineage
 
-ROUNDS = 20
+ROUNDS = 220  # of the plain recursion in SQL: what is left is 0.85 ** 220 = 3e-16
 
 
 @query("daily_graph_nodes", "SELECT date_time, day, node_id, num_cases, CAST(NULL AS DOUBLE) AS population, inner_movement FROM nodes", d="date_time", covers="J6 C2 C16 B16")
@@ -41,18 +41,19 @@ RANK_CTE = """
     base AS MATERIALIZED (SELECT *, CASE WHEN sum(weight) OVER g > 0 THEN weight / sum(weight) OVER g ELSE 1e0 / count(*) OVER g END AS reset FROM w WINDOW g AS (PARTITION BY date, hour)),
     arc0 AS (SELECT date, hour, id1 AS src, id2 AS dst FROM c UNION ALL SELECT date, hour, id2, id1 FROM c),
     arcs AS MATERIALIZED (SELECT date, hour, src, dst, n / sum(n) OVER (PARTITION BY date, hour, src) AS share FROM (SELECT date, hour, src, dst, CAST(count(*) AS DOUBLE) AS n FROM arc0 GROUP BY 1, 2, 3, 4)),
-    r0 AS MATERIALIZED (SELECT date, hour, identifier, reset AS rank FROM base)""" + "".join(f""",
-    r{k + 1} AS MATERIALIZED (SELECT b.date, b.hour, b.identifier, 0.15e0 * reset + 0.85e0 * coalesce(f, 0) AS rank FROM base b LEFT JOIN (
-        SELECT a.date, a.hour, dst AS identifier, sum(rank * share) AS f FROM arcs a JOIN r{k} r ON r.date = a.date AND r.hour = a.hour AND r.identifier = src GROUP BY 1, 2, 3) i USING (date, hour, identifier))""" for k in range(ROUNDS))
+    r AS (SELECT 0 AS k, date, hour, identifier, reset AS rank FROM base UNION ALL
+        SELECT k + 1, b.date, b.hour, b.identifier, 0.15e0 * reset + 0.85e0 * coalesce(f, 0) FROM base b JOIN (
+            SELECT k, a.date, a.hour, dst AS identifier, sum(rank * share) AS f FROM arcs a JOIN r ON r.date = a.date AND r.hour = a.hour AND r.identifier = src WHERE k < {ROUNDS} GROUP BY 1, 2, 3, 4) i USING (date, hour, identifier)),
+    ranks AS MATERIALIZED (SELECT date, hour, identifier, rank FROM r WHERE k = {ROUNDS})""".replace("{ROUNDS}", str(ROUNDS))
 
-SCORED = RANK_CTE + f""",
-    scored AS (SELECT c.*, round(x.rank * y.rank, 12) AS centrality FROM c JOIN r{ROUNDS} x ON x.date = c.date AND x.hour = c.hour AND x.identifier = id1 JOIN r{ROUNDS} y ON y.date = c.date AND y.hour = c.hour AND y.identifier = id2),
+SCORED = RANK_CTE + """,
+    scored AS (SELECT c.*, round(x.rank * y.rank, 12) AS centrality FROM c JOIN ranks x ON x.date = c.date AND x.hour = c.hour AND x.identifier = id1 JOIN ranks y ON y.date = c.date AND y.hour = c.hour AND y.identifier = id2),
     spots AS (SELECT date, hour, lat, lon, CAST(count(*) AS DOUBLE) AS total FROM (SELECT *, row_number() OVER g AS k, count(*) OVER (PARTITION BY date, hour) AS n FROM scored WINDOW g AS (PARTITION BY date, hour ORDER BY centrality DESC, event_id))
         WHERE k <= ceil(0.1 * n) GROUP BY 1, 2, 3, 4)"""
 
 
 def scored(t):
-    return places.scored_contacts(t.good_contacts, t.distances_to_infected, rounds=ROUNDS)
+    return places.scored_contacts(t.good_contacts, t.distances_to_infected)
 
 
 def hourly(t):
@@ -60,27 +61,27 @@ def hourly(t):
     return cut_lineage(places.hourly_places(cut_lineage(scored(t))))
 
 
-@query("contact_node_weights", f"WITH {RANK_CTE} SELECT date, hour, identifier, weight FROM w", d="date", r="weight", covers="H7 C14 K18")
+@query("contact_node_weights", f"WITH RECURSIVE {RANK_CTE} SELECT date, hour, identifier, weight FROM w", d="date", r="weight", covers="H7 C14 K18")
 def _(t):
     c = t.good_contacts.filter(F.col("hour").between(*places.HOURS))
     return places.node_weights(c, t.distances_to_infected)
 
 
-@query("personalised_rank", f"WITH {RANK_CTE} SELECT date, hour, identifier, rank AS centrality FROM r{ROUNDS}", d="date", r="centrality", covers="J5")
+@query("personalised_rank", f"WITH RECURSIVE {RANK_CTE} SELECT date, hour, identifier, rank AS centrality FROM ranks", d="date", r="centrality", covers="J5")
 def _(t):
     c = t.good_contacts.filter(F.col("hour").between(*places.HOURS))
     nodes = places.node_weights(c, t.distances_to_infected)
     edges = c.groupBy("date", "hour", "id1", "id2").agg(F.count("*").cast("double").alias("weight"))
-    return graphs.personalised_rank(nodes, edges, ["date", "hour"], ROUNDS)
+    return graphs.personalised_rank(nodes, edges, ["date", "hour"])
 
 
-@query("hourly_best_places", f"WITH {SCORED} SELECT * FROM spots", d="date", r="lat lon", covers="K18 E11 L3")
+@query("hourly_best_places", f"WITH RECURSIVE {SCORED} SELECT * FROM spots", d="date", r="lat lon", covers="K18 E11 L3")
 def _(t):
     return hourly(t)
 
 
 @query("top_places", f"""
-    WITH {SCORED}, recent AS (SELECT lat, lon, count(*) AS n FROM good_contacts WHERE date >= (SELECT max(date) FROM good_contacts) - INTERVAL 14 DAY GROUP BY 1, 2),
+    WITH RECURSIVE {SCORED}, recent AS (SELECT lat, lon, count(*) AS n FROM good_contacts WHERE date >= (SELECT max(date) FROM good_contacts) - INTERVAL 14 DAY GROUP BY 1, 2),
         best AS (SELECT lat, lon, sum(total) AS n FROM spots WHERE date >= (SELECT max(date) FROM spots) - INTERVAL 14 DAY GROUP BY 1, 2)
     SELECT lat, lon, CAST(n AS DOUBLE) AS total, 'Contacts Top' AS type FROM (SELECT * FROM recent ORDER BY n DESC, lat, lon LIMIT 10)
     UNION ALL SELECT lat, lon, n, 'Pagerank Top' FROM (SELECT * FROM best ORDER BY n DESC, lat, lon LIMIT 10)""", r="lat lon", covers="K18 F5 D20 B10")
@@ -89,14 +90,14 @@ def _(t):
 
 
 @query("rolling_top_places", f"""
-    WITH {SCORED}, a AS (SELECT min(date) AS d0 FROM spots), win AS (SELECT d0 + CAST(date_diff('day', d0, date) // 16 * 16 AS INTEGER) AS window_start, lat, lon, sum(total) AS total FROM spots, a GROUP BY 1, 2, 3)
+    WITH RECURSIVE {SCORED}, a AS (SELECT min(date) AS d0 FROM spots), win AS (SELECT d0 + CAST(date_diff('day', d0, date) // 16 * 16 AS INTEGER) AS window_start, lat, lon, sum(total) AS total FROM spots, a GROUP BY 1, 2, 3)
     SELECT window_start, total FROM win QUALIFY row_number() OVER (PARTITION BY window_start ORDER BY total DESC, lat, lon) <= 10""", d="window_start", covers="K20")
 def _(t):
     return places.rolling_top_places(hourly(t)).select("window_start", "total")
 
 
 @query("old_and_new_places", f"""
-    WITH {SCORED}, cut AS (SELECT max(date) - INTERVAL 14 DAY AS c FROM spots)
+    WITH RECURSIVE {SCORED}, cut AS (SELECT max(date) - INTERVAL 14 DAY AS c FROM spots)
     SELECT lat, lon, sum(total) AS total, CASE WHEN bool_or(date > c) AND bool_or(date <= c) THEN 'both' WHEN bool_or(date > c) THEN 'recent' ELSE 'historic' END AS kind FROM spots, cut GROUP BY 1, 2""", r="lat lon", covers="K19")
 def _(t):
     return places.old_and_new(hourly(t))

@@ -96,7 +96,7 @@ def _germany_raw(t):
     days = c.agg(F.min("date_time").alias("a"), F.max("date_time").alias("b")).select(F.explode(F.sequence("a", "b")).alias("date_time"))
     from pyspark.sql import Window as W
 
-    ids = [str(i) for i in range(25)]
+    ids = sorted(r["poly_id"] for r in t.polygons.select("poly_id").distinct().collect())  # the columns of a wide table
     wide = c.groupBy("date_time").pivot("geo_id", ids).agg(F.max("num_cases"))
     w = W.orderBy("date_time").rowsBetween(W.unboundedPreceding, 0)  # one row per day
     full = days.join(wide, "date_time", "left")

@@ -83,32 +83,43 @@ def repair_cumulative(df: DataFrame, keys: list[str], order: str, col: str, vari
 
     Variants: 'midpoint' (mean of the neighbours), 'midpoint_or_next' (the next value when
     the midpoint changes nothing) and 'look_ahead' (lift the low value when the one after
-    allows it). The pass over a series is order-dependent, so it runs per series in Arrow.
+    allows it). The pass over a series is order-dependent, so it runs per series in Arrow;
+    a pass begins before the first value that the last one changed. The first value is never
+    changed. Where the rule comes back to a state it had before, it would never settle: what
+    still falls is then lifted to the largest value before it, the first value aside.
     """
     schema = df.schema
 
-    def fix(v: np.ndarray) -> np.ndarray:
-        n = len(v)
-        for _ in range(100_000):
-            settled = True
-            for i in range(1, n - 1):
-                if v[i] <= v[i + 1]:
-                    continue
-                settled = False
-                middle = math.floor((v[i - 1] + v[i + 1]) / 2)
-                if variant == "look_ahead" and i + 2 < n and v[i] <= v[i + 2]:
-                    v[i + 1] = math.floor((v[i] + v[i + 2]) / 2)
-                elif variant == "midpoint_or_next" and middle == v[i]:
-                    v[i] = v[i + 1]
-                else:
-                    v[i] = middle
-            if settled:
-                break
-        return v
+    def lifted(v: list[float], i: int) -> tuple[int, float]:
+        middle = math.floor((v[i - 1] + v[i + 1]) / 2)
+        if variant == "look_ahead" and i + 2 < len(v) and v[i] <= v[i + 2]:
+            return i + 1, math.floor((v[i] + v[i + 2]) / 2)
+        if variant == "midpoint_or_next" and middle == v[i]:
+            return i, v[i + 1]
+        return i, middle
+
+    def fix(v: list[float]) -> list[float]:
+        start, passes, seen, check = 1, 0, list(v), 1
+        while True:
+            falls = 0
+            for i in range(start, len(v) - 1):
+                if v[i] > v[i + 1]:
+                    if not falls:
+                        first = i
+                    falls += 1
+                    at, value = lifted(v, i)
+                    v[at] = value
+            if not falls:
+                return v
+            start, passes = max(1, first - 1), passes + 1
+            if v == seen:
+                return v[:1] + np.maximum.accumulate(v[1:]).tolist()
+            if passes == check:  # a cycle of any length shows once the kept state lies on it
+                seen, check = list(v), 2 * check
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        pdf[col] = fix(pdf[col].to_numpy(dtype=float, copy=True))
+        pdf[col] = fix(pdf[col].astype(float).tolist())
         return pdf
 
     return df.groupBy(*keys).applyInPandas(run, schema)

@@ -26,12 +26,12 @@ def node_weights(contacts: DataFrame, distances: DataFrame, scale: float = 1200.
     )
 
 
-def scored_contacts(contacts: DataFrame, distances: DataFrame, scale: float = 1200.0, rounds: int = 20) -> DataFrame:
+def scored_contacts(contacts: DataFrame, distances: DataFrame, scale: float = 1200.0) -> DataFrame:
     """Contacts with the product of their two ends' personalised ranks; all hours in one job."""
     c = contacts.filter(F.col("hour").between(*HOURS))
     nodes = node_weights(c, distances, scale)
     edges = c.groupBy("date", "hour", "id1", "id2").agg(F.count("*").cast("double").alias("weight"))
-    rank = cut_lineage(personalised_rank(nodes, edges, ["date", "hour"], rounds))
+    rank = cut_lineage(personalised_rank(nodes, edges, ["date", "hour"]))
     a = rank.select("date", "hour", F.col("identifier").alias("id1"), F.col("centrality").alias("_a"))
     b = rank.select("date", "hour", F.col("identifier").alias("id2"), F.col("centrality").alias("_b"))
     one = salted_join(c, a, ["date", "hour", "id1"], spread=["event_id"])
