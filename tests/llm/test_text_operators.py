@@ -195,3 +195,12 @@ def test_model_probabilities_sum_to_one_at_most():
     assert np.allclose(np.exp(maxent.log_softmax(maxent.logits(w, t.slots()))).sum(1), 1, atol=1e-4)
     v = maxent.Vocabulary(np.zeros(0, np.uint64), {0: (10, 3), 20: (7, 7)}, np.zeros(0, np.uint64), np.zeros(0, np.int64))
     assert v.mass[0] == 14 and v.mass[20] == 15 and v.mass[1] == 1
+
+
+def test_shingles_of_blocks_of_few_words():
+    for n in (1, 2, 3, 4, 5, 6, 9):
+        for size in range(n + 1):
+            raw = np.frombuffer(" ".join(WORDS[:size]).encode(), np.uint8)
+            for bounds in ([0, len(raw)], [0, 0, len(raw), len(raw)]):
+                _, _, h, rows = tokens.words(raw, np.array(bounds))
+                assert [len(x) for x in tokens.shingles(h, rows, n)] == [min(1, size) if b > a else 0 for a, b in zip(bounds[:-1], bounds[1:], strict=True)]

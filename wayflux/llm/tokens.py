@@ -113,7 +113,7 @@ def shingles(h: np.ndarray, word_bounds: np.ndarray, n: int) -> list[np.ndarray]
     """Per row the sorted distinct hashes of its runs of n words; a shorter text is one run, an empty one none."""
     out = []
     acc = np.zeros(max(0, len(h) - n + 1), np.uint64)
-    for k in range(n):
+    for k in range(n if len(h) >= n else 0):
         acc = acc * np.uint64(_P) + h[k : len(h) - n + 1 + k]
     runs = mix(acc, n)
     for a, b in zip(word_bounds[:-1], word_bounds[1:], strict=True):
