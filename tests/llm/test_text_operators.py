@@ -156,6 +156,42 @@ def test_repeated_spans(spark):
     assert spans.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_runs_cover_repeats_to_both_ends(spark):
+    rng = random.Random(11)
+    sentence = lambda k: " ".join(rng.choice(WORDS) + str(rng.randrange(10**6)) for _ in range(k)) + "."
+    passages = [" ".join(map(sentence, sizes)) for sizes in ((10, 11, 12, 9, 10), (10, 12, 9), (19, 1, 1), (1, 1, 30, 2))]
+    passages += [" ".join(sentence(rng.randint(lo, hi)) for _ in range(8)) for lo, hi in ((4, 14), (6, 18), (5, 25), (1, 60)) for _ in range(10)]
+    docs, wanted = [], []
+    for passage in passages:
+        for _ in range(2):
+            ends = [" ".join(sentence(rng.randint(4, 14)) for _ in range(4)) for _ in range(2)]
+            docs.append(f"{ends[0]} {passage} {ends[1]}")
+            wanted.append(docs[-1] if len(docs) % 2 else f"{ends[0]} {ends[1]}")
+    flow = [" ".join(sentence(1)[:-1] for _ in range(51)) for _ in range(20)]
+    for passage in flow:  # without stops, begun and left in mid-sentence
+        for _ in range(2):
+            ends = [" ".join(sentence(1)[:-1] for _ in range(rng.randint(0, 30))) for _ in range(2)]
+            docs.append(f"{ends[0]} {passage} {ends[1]}")
+            wanted.append(docs[-1] if len(docs) % 2 else " ".join(ends))
+    # a long sentence entered in its middle, and the short ones behind it
+    tail = " ".join([sentence(45), sentence(7), sentence(9)])
+    docs += [sentence(20)[:-1] + " " + tail, sentence(3)[:-1] + " " + tail]
+    wanted += [docs[-2], " ".join(docs[-1].split()[:3])]
+    got = {r["doc_id"]: r["text"] for r in spans.remove_repeats(frame(spark, docs).repartition(3)).collect()}
+    assert [got[d].split() for d in range(len(docs))] == [w.split() for w in wanted]
+
+
+def test_runs_settled_in_turns_give_the_same(spark, monkeypatch):
+    rng = random.Random(12)
+    shared = [prose(rng, 60) for _ in range(5)]
+    df = frame(spark, [prose(rng, 30) + "\n" + rng.choice(shared) + "\n" + prose(rng, 80) for _ in range(60)]).repartition(2).localCheckpoint()
+    whole = sorted(spans.remove_repeats(df).select("doc_id", "text").collect())
+    assert any(len(r["text"]) < 600 for r in whole)
+    monkeypatch.setattr(spans, "HELD", 8)
+    monkeypatch.setattr(spans, "row_blocks", lambda bounds: ((k, k + 1) for k in range(len(bounds) - 1)))
+    assert sorted(spans.remove_repeats(df).select("doc_id", "text").collect()) == whole
+
+
 def test_language_model(spark):
     rng = random.Random(9)
     texts = []
