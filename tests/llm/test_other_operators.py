@@ -165,6 +165,15 @@ def test_url_rules_and_templates(spark):
     assert urls.judge(df.limit(0), RULES).count() == 0
 
 
+def test_url_rules_say_nothing_beyond_their_path(spark):
+    rules = [("block", "example.com", "/de/"), ("block", "years.org", "/2019/"), ("block", "two.org", "/a/b/"), ("block", "two.org", "/d/")]
+    paths = ["b.example.com/de/", "b.example.com/en/", "b.example.com/fr/", "b.example.com/de", "years.org/2019/", "years.org/2020/", "two.org/a/b/c/", "two.org/a/c/", "two.org/d/c/", "none.org/x/"]
+    df = spark.createDataFrame([(f"http://{p}{k}" if p.endswith("/") else f"http://{p}",) for p in paths for k in range(40)], "url string")
+    got = urls.judge(df, rules).groupBy(F.regexp_extract("url", "//(.*?)[0-9]*$", 1).alias("p")).agg(F.collect_set("_url.verdict").alias("v"), F.collect_set("_url.rule").alias("r")).collect()
+    assert {r["p"]: r["v"] for r in got} == {p: ["block"] if p in ("b.example.com/de/", "years.org/2019/", "two.org/a/b/c/", "two.org/d/c/") else ["allow"] for p in paths}
+    assert all(bool(r["r"]) == (r["v"] == ["block"]) for r in got)
+
+
 def test_pipeline_stages_against_their_operators(spark):
     root = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{root}/documents.parquet")
