@@ -21,7 +21,7 @@ def test_distributed_rank_matches_sort(spark):
     rows = [(int(i), str(k), float(v)) for i, (k, v) in enumerate(zip(rng.integers(0, 3, 3000), rng.integers(0, 20, 3000)))]
     rows += [(i, "hot", 1.0) for i in range(3000, 5000)]  # one score for two fifths of the rows
     df = spark.createDataFrame(rows, "id long, k string, v double")
-    got = {r.id: (r["rank"], r["n"]) for r in ranking.distributed_rank(df, ["k"], "v", "id", pieces=8, rows_per_task=100).collect()}
+    got = {r.id: (r["rank"], r["n"]) for r in ranking.distributed_rank(df, ["k"], "v", "id", rows_per_task=100).collect()}
     for k, grp in itertools.groupby(sorted(rows, key=lambda r: (r[1], -r[2], r[0])), key=lambda r: r[1]):
         grp = list(grp)
         assert [got[r[0]] for r in grp] == [(i + 1, len(grp)) for i in range(len(grp))]
@@ -30,7 +30,7 @@ def test_distributed_rank_matches_sort(spark):
 def test_exact_percentiles(spark):
     v = np.concatenate([np.random.default_rng(5).normal(size=997), np.ones(500)])
     df = spark.createDataFrame([(float(x),) for x in v], "v double")
-    got = ranking.exact_percentiles(df, [], "v", [0.0, 0.1, 0.5, 0.975, 1.0], pieces=8, rows_per_task=50).first()[0]
+    got = ranking.exact_percentiles(df, [], "v", [0.0, 0.1, 0.5, 0.975, 1.0], rows_per_task=50).first()[0]
     assert np.allclose(got, np.quantile(v, [0.0, 0.1, 0.5, 0.975, 1.0]))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from wayflux.session import cut_lineage
+
 
 def first_k(df: DataFrame, k: int | None) -> DataFrame:
     return df if k is None or k <= 0 else df.limit(k)
@@ -31,60 +33,79 @@ def top_rows(df: DataFrame, value: str, ties: list[str], n: int = 10) -> DataFra
     return df.orderBy(F.col(value).desc(), *ties).limit(n)
 
 
-def _position(x: Column, cuts: Column, pieces: int) -> Column:
-    """2i for values between cuts i-1 and i, 2i+1 for values equal to cut i, by bisection."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(pieces - 1, 1).bit_length()))])
-    below = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when((at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) < x), at + step).otherwise(at),
-    )
-    return F.transform(F.array(below), lambda i: 2 * i + F.when(F.get(cuts, i) == x, 1).otherwise(0))[0]
+ROWS_PER_TASK = 200_000
+SMALL = 100_000  # rows of a side that may be sent to every task
+
+
+def ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """Rows dealt to contiguous ranges of `order` and sorted: `_part` counts the ranges, `_at` the rows of each.
+
+    Neither has gaps, and both are kept as written, so they stay the same when a task is run again.
+    """
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    return cut_lineage(placed).select(*df.columns, F.shiftrightunsigned("_id", 33).alias("_part"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_at"))
+
+
+def offsets(placed: DataFrame, keys: list[str], measure: Column, *also: Column) -> DataFrame:
+    """Per group and range: `before`, the measure of the group's earlier ranges, and `total`, that of all of them.
+
+    One row per group and range, of which there are no more than groups and ranges together.
+    """
+    sums = placed.groupBy(*keys, "_part").agg(measure.alias("_m"), *also)
+    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    summed = sums.withColumns({"before": F.coalesce(F.sum("_m").over(earlier), F.lit(0)), "total": F.sum("_m").over(W.partitionBy(*keys))})
+    return cut_lineage(summed.drop("_m"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
+def _parted(df: DataFrame, keys: list[str], sizes: DataFrame, rows_per_task: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of groups that fit one task, and of those that do not; `sizes` has a row (keys, `_d`) per group."""
+    large = cut_lineage(sizes.filter(F.col("_d") > rows_per_task).select(*keys))
+    if large.isEmpty():
+        return df, None
+    if keys == ["_g"]:
+        return None, df
+    return df.join(large, keys, "left_anti"), df.join(large, keys, "left_semi")
+
+
+def _both(a: DataFrame | None, b: DataFrame | None) -> DataFrame:
+    return a if b is None else b if a is None else a.unionByName(b)
 
 
 def distributed_rank(
-    df: DataFrame, keys: list[str], score: str, tie: str, pieces: int = 1024, rows_per_task: int = 200_000
+    df: DataFrame, keys: list[str], score: str, tie: str, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Exact 1-based rank (`rank`) by falling score, then rising unique numeric `tie`, and group size `n`.
+    """Exact 1-based rank (`rank`) by falling score, then rising unique `tie`, and group size `n`.
 
-    A group may hold most of the table. Groups beyond `rows_per_task` are cut into pieces by
-    approximate quantiles of the score; rows that share one cut's score are cut once more by
-    `tie`. Rank = rows in earlier pieces + position within the piece. Only pieces are sorted.
+    A group may hold most of the table. Groups beyond `rows_per_task` are dealt to ranges of
+    (keys, score, tie): rank = rows of the group in earlier ranges + position in its own. Rows without a key are left out.
     """
-    probs = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    neg = F.when(F.col(score) == 0, F.lit(0.0)).otherwise(-F.col(score))
-    anchor = [F.lit(0).alias("_g")] if not keys else []
     ks = keys or ["_g"]
-    base = df.select("*", neg.alias("_s"), *anchor)
-    base = base.join(base.groupBy(*ks).agg(F.count("*").alias("n")), ks)
-    cuts = (
-        base.filter(F.col("n") > rows_per_task)
-        .groupBy(*ks)
-        .agg(F.array_distinct(F.percentile_approx("_s", probs, 10_000)).alias("_cuts"))
-    )
-    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(_position(F.col("_s"), F.col("_cuts"), pieces))
-    placed = base.join(cuts, ks, "left").withColumn("_p", piece).drop("_cuts")
-    tied = (
-        placed.filter("_p % 2 = 1")
-        .groupBy(*ks, "_p")
-        .agg(F.array_distinct(F.percentile_approx(tie, probs, 10_000)).alias("_tcuts"))
-    )
-    part = F.when(F.col("_tcuts").isNull(), 0).otherwise(_position(F.col(tie), F.col("_tcuts"), pieces))
-    placed = placed.join(tied, [*ks, "_p"], "left").withColumn("_q", part).drop("_tcuts")
-    before = W.partitionBy(*ks).orderBy("_p", "_q")  # one row per piece
-    offsets = (
-        placed.filter(F.col("n") > rows_per_task)
-        .groupBy(*ks, "_p", "_q")
-        .agg(F.count("*").alias("_c"))
-        .select(*ks, "_p", "_q", (F.sum("_c").over(before) - F.col("_c")).alias("_off"))
-    )
-    inside = F.row_number().over(W.partitionBy(*ks, "_p", "_q").orderBy("_s", tie))
-    return (
-        placed.withColumn("_rn", inside)
-        .join(offsets, [*ks, "_p", "_q"], "left")
-        .withColumn("rank", F.coalesce("_off", F.lit(0)) + F.col("_rn"))
-        .drop("_p", "_q", "_off", "_rn", "_s", *(["_g"] if not keys else []))
-    )
+    neg = F.when(F.col(score) == 0, F.lit(0.0)).otherwise(-F.col(score))
+    base = (df.na.drop(subset=keys) if keys else df.withColumn("_g", F.lit(0))).withColumn("_s", neg)
+    few, many = _parted(base, ks, base.groupBy(*ks).agg(F.count("*").alias("_d")), rows_per_task)
+    if few is not None:
+        w = W.partitionBy(*ks)
+        few = few.withColumns({"n": F.count("*").over(w), "rank": F.row_number().over(w.orderBy("_s", tie)).cast("long")})
+    if many is not None:
+        placed = ranges(many, [*ks, "_s", tie])
+        stats = offsets(placed, ks, F.count("*"), F.min("_at").alias("_first"))
+        many = placed.join(_small(stats), [*ks, "_part"]).withColumns({"n": F.col("total"), "rank": F.col("before") + F.col("_at") - F.col("_first") + 1})
+        many = many.drop("_part", "_at", "_first", "before", "total")
+    return _both(few, many).select(*df.columns, "n", "rank")
+
+
+def running_total(df: DataFrame, value: str, order: list[str]) -> DataFrame:
+    """Sum of `value` over the rows up to each in `order` (`running`), before it (`earlier`) and of all (`total`)."""
+    placed = ranges(df.withColumns({"_g": F.lit(0), "_w": F.coalesce(F.col(value), F.lit(0))}), order)
+    stats = offsets(placed, ["_g"], F.sum("_w"))
+    own = W.partitionBy("_part").orderBy("_at")
+    summed = placed.withColumns({"_up": F.sum("_w").over(own), "_down": F.coalesce(F.sum("_w").over(own.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))})
+    summed = summed.join(_small(stats), ["_g", "_part"])
+    return summed.select(*df.columns, (F.col("before") + F.col("_up")).alias("running"), (F.col("before") + F.col("_down")).alias("earlier"), "total")
 
 
 def top_share(df: DataFrame, keys: list[str], score: str, tie: str, share: float = 0.1) -> DataFrame:
@@ -98,41 +119,45 @@ def numbered(df: DataFrame, order: list[Column], out: str = "number") -> DataFra
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], col: str, probs: list[float], out: str = "q", pieces: int = 1024, rows_per_task: int = 200_000
+    df: DataFrame, keys: list[str], col: str, probs: list[float], out: str = "q", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Exact interpolated percentiles of groups of any size, as one array column.
 
-    Equal values are counted first; groups with more than `rows_per_task` distinct values are
-    cut into pieces by approximate quantiles, and positions come from piece offsets plus a
-    sum within a piece.
+    Equal values are counted first. Groups with more than `rows_per_task` distinct values are dealt to ranges of
+    (keys, value), and only the ranges that hold a wanted position are looked into. Rows without a key or value are left out.
     """
     ks = keys or ["_g"]
     base = df.filter(F.col(col).isNotNull())
-    base = base if keys else base.withColumn("_g", F.lit(0))
-    counts = base.groupBy(*ks, F.col(col).alias("_v")).agg(F.count("*").alias("_c"))
-    totals = counts.groupBy(*ks).agg(F.sum("_c").alias("_n"), F.count("*").alias("_d"))
-    counts = counts.join(totals, ks)
-    marks = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
-    big = counts.filter(F.col("_d") > rows_per_task)
-    cuts = big.groupBy(*ks).agg(F.array_distinct(F.percentile_approx("_v", marks, 10_000)).alias("_cuts"))
-    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(_position(F.col("_v"), F.col("_cuts"), pieces))
-    placed = counts.join(cuts, ks, "left").select(*ks, "_n", "_d", "_v", "_c", piece.alias("_p"))
-    order = W.partitionBy(*ks).orderBy("_p")  # one row per piece
-    offsets = (
-        placed.filter(F.col("_d") > rows_per_task).groupBy(*ks, "_p").agg(F.sum("_c").alias("_s"))
-        .select(*ks, "_p", (F.sum("_s").over(order) - F.col("_s")).alias("_off"))
-    )
-    inside = F.sum("_c").over(W.partitionBy(*ks, "_p").orderBy("_v"))
-    ends = placed.withColumn("_e", inside).join(offsets, [*ks, "_p"], "left").withColumn("_e", F.col("_e") + F.coalesce("_off", F.lit(0)))
+    base = base.na.drop(subset=keys) if keys else base.withColumn("_g", F.lit(0))
+    counts = cut_lineage(base.groupBy(*ks, F.col(col).alias("_v")).agg(F.count("*").alias("_c")))
+    few, many = _parted(counts, ks, counts.groupBy(*ks).agg(F.count("*").alias("_d")), rows_per_task)
+
+    def spots(n: Column) -> list[Column]:
+        return [F.lit(float(p)) * (n - 1) for p in probs]
+
+    if few is not None:
+        w = W.partitionBy(*ks)
+        few = few.select(*ks, "_v", "_c", F.sum("_c").over(w.orderBy("_v")).alias("_e"), F.sum("_c").over(w).alias("_n"))
+    if many is not None:
+        placed = ranges(many, [*ks, "_v"])
+        stats = offsets(placed, ks, F.sum("_c"), F.sum("_c").alias("_own"))
+        wanted = F.lit(False)
+        for s in spots(F.col("total")):
+            for at in (F.floor(s), F.ceil(s)):
+                wanted = wanted | ((at >= F.col("before")) & (at < F.col("before") + F.col("_own")))
+        inner = placed.join(_small(stats.filter(wanted).drop("_own")), [*ks, "_part"])
+        end = F.col("before") + F.sum("_c").over(W.partitionBy(*ks, "_part").orderBy("_v"))
+        many = inner.select(*ks, "_v", "_c", end.alias("_e"), F.col("total").alias("_n"))
+    ends = _both(few, many)
 
     def at(pos: Column) -> Column:
         return F.max(F.when((pos >= F.col("_e") - F.col("_c")) & (pos < F.col("_e")), F.col("_v")))
 
-    spots = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    lows = [at(F.floor(s)).alias(f"_l{i}") for i, s in enumerate(spots)]
-    highs = [at(F.ceil(s)).alias(f"_h{i}") for i, s in enumerate(spots)]
+    places = spots(F.col("_n"))
+    lows = [at(F.floor(s)).alias(f"_l{i}") for i, s in enumerate(places)]
+    highs = [at(F.ceil(s)).alias(f"_h{i}") for i, s in enumerate(places)]
     found = ends.groupBy(*ks, "_n").agg(*lows, *highs)
     mixed = [
-        F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (s - F.floor(s)) for i, s in enumerate(spots)
+        F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (s - F.floor(s)) for i, s in enumerate(places)
     ]
     return found.select(*keys, F.array(*mixed).alias(out))

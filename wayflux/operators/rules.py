@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayflux.functions import geo, special, vectors
+from wayflux.operators.dissolve import dissolve
 
 
 @dataclass(frozen=True)
@@ -185,9 +186,10 @@ def _gamma_delay(col: str, rule: Rule):
     return run
 
 
-def _merge_geometry(col: str, rule: Rule) -> Column:
-    rings = F.array_sort(F.collect_set(F.regexp_replace(F.regexp_replace(col, r"^POLYGON ", ""), r"^MULTIPOLYGON \((.*)\)$", "$1")))
-    return F.concat(F.lit("MULTIPOLYGON ("), F.array_join(rings, ", "), F.lit(")"))
+def _merge_geometry(col: str, rule: Rule) -> Result:
+    """The union of the group's shapes; `size` is the cell side of its spatial joins, in degrees."""
+    size = float(parameters(rule, {"size": "0.25"})["size"])
+    return lambda df, keys: dissolve(df, keys, col, size)
 
 
 REGISTRY: dict[str, Callable[[str, Rule], Result]] = {

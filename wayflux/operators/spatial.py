@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayflux.functions import geo
+from wayflux.operators import cells
 from wayflux.session import cut_lineage, salted_join
 
 
@@ -17,57 +18,37 @@ def _span(lo: Column, hi: Column, size: float) -> Column:
     return F.sequence(geo.cell(lo, size), geo.cell(hi, size))
 
 
-def covering_cells(areas: DataFrame, size: float, rings: str = "rings") -> DataFrame:
-    """Rows of `areas` repeated for each grid cell their bounding box meets."""
-    lon = F.transform(F.flatten(rings), lambda p: p["lon"])
-    lat = F.transform(F.flatten(rings), lambda p: p["lat"])
-    return (
-        areas.withColumn("cx", F.explode(_span(F.array_min(lon), F.array_max(lon), size)))
-        .withColumn("cy", F.explode(_span(F.array_min(lat), F.array_max(lat), size)))
+def _deal(df: DataFrame, seg: str, size: float, margin: float = 0.0) -> DataFrame:
+    """Rows repeated for each cell that their segment passes, or comes as near as the margin."""
+    x1, x2, y1, y2 = (F.col(f"{seg}.{c}") for c in ("x1", "x2", "y1", "y2"))
+    dealt = df.withColumn("cx", F.explode(_span(F.least(x1, x2) - margin, F.greatest(x1, x2) + margin, size))).withColumn(
+        "cy", F.explode(_span(F.least(y1, y2) - margin, F.greatest(y1, y2) + margin, size))
     )
+    # a cell that lies wholly on one side of the segment's line is not passed
+    off = (x2 - x1) * ((F.col("cy") + 0.5) * size - y1) - (y2 - y1) * ((F.col("cx") + 0.5) * size - x1)
+    return dealt.filter(F.abs(off) <= (F.abs(x2 - x1) + F.abs(y2 - y1)) * (size * (0.5 + 1e-9) + margin) * (1 + 1e-12))
 
 
-def edges_by_cell(areas: DataFrame, keep: list[str], size: float) -> DataFrame:
-    """Rows of `areas` repeated per grid cell, with `_edges`: all that the ray test of a point in it needs.
+def _segment_cells(areas: DataFrame, key: Column, size: float, margin: float = 0.0) -> DataFrame:
+    """One row (key, seg, cx, cy) per border segment and cell it passes, widened by a margin."""
+    return _deal(areas.select(key, F.explode(geo.edges_of(F.col("rings"))).alias("seg")), "seg", size, margin)
 
-    A ray east meets only edges of the cell's row that do not end west of the cell, and an
-    area only reaches from the first to the last of them.
-    """
-    slack = size * 1e-9  # floor(v / size) and cell * size may differ in the last digit
-    low, high = F.col("cy") * size - slack, (F.col("cy") + 1) * size + slack
-    least_x = F.array_min(F.transform("_edges", lambda e: F.least(e["x1"], e["x2"])))
-    most_x = F.array_max(F.transform("_edges", lambda e: F.greatest(e["x1"], e["x2"])))
-    least_y = F.array_min(F.transform("_edges", lambda e: F.least(e["y1"], e["y2"])))
-    most_y = F.array_max(F.transform("_edges", lambda e: F.greatest(e["y1"], e["y2"])))
-    row = F.filter("_edges", lambda e: (F.greatest(e["y1"], e["y2"]) >= low) & (F.least(e["y1"], e["y2"]) <= high))
-    east = F.filter("_edges", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("cx") * size - slack)
-    return (
-        areas.select(*keep, geo.edges_of(F.col("rings")).alias("_edges"))
-        .withColumn("cy", F.explode(_span(least_y, most_y, size)))
-        .withColumn("_edges", row)
-        .filter(F.size("_edges") > 0)
-        .withColumn("cx", F.explode(_span(least_x, most_x, size)))
-        .withColumn("_edges", east)
-    )
 
+def _refine(seg: str, margin: float = 0.0) -> cells.Refine:
+    return lambda df, size: cells.within(df, lambda rows: _deal(rows, seg, size, margin))
 
-def _segment_cells(areas: DataFrame, key: Column, size: float, margin: float = 0.0) -> DataFrame:
-    """One row (key, seg, cx, cy) per border segment and cell it may pass, widened by a margin."""
-    segs = areas.select(key, F.explode(geo.edges_of(F.col("rings"))).alias("seg"))
-    x1, x2, y1, y2 = (F.col(f"seg.{c}") for c in ("x1", "x2", "y1", "y2"))
-    return segs.withColumn("cx", F.explode(_span(F.least(x1, x2) - margin, F.greatest(x1, x2) + margin, size))).withColumn(
-        "cy", F.explode(_span(F.least(y1, y2) - margin, F.greatest(y1, y2) + margin, size))
-    )
+
+def _at(lon: str, lat: str) -> cells.Refine:
+    return lambda df, size: cells.in_cell(df, lon, lat, size)
 
 
 def _ring_starts(areas: DataFrame, key: Column) -> DataFrame:
     return areas.select(key, F.explode("rings").alias("_r")).select("*", F.col("_r")[0]["lon"].alias("lon"), F.col("_r")[0]["lat"].alias("lat")).drop("_r")
 
 
-def _join_cells(many: DataFrame, few: DataFrame, salts: int = 8) -> DataFrame:
+def _join_cells(many: DataFrame, few: DataFrame) -> DataFrame:
     """Join on the cell; rows of a hot cell are dealt to several tasks, the other side repeated for each."""
-    dealt = many.withColumn("_salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int"))
-    return dealt.join(few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["cx", "cy", "_salt"]).drop("_salt")
+    return salted_join(many, few, cells.CELL, rows_per_task=cells.ROWS_PER_CELL)
 
 
 def points_in_areas(
@@ -75,15 +56,18 @@ def points_in_areas(
 ) -> DataFrame:
     """Points joined with the areas they lie within (borders excluded).
 
-    `keep` names the area columns to add. Callers sum rows per coordinate first.
+    `keep` names the area columns to add. Distinct places go down the cell tree, from cells of `size` on, and the
+    points follow their place; points whose place is null or not finite are in no area.
     """
-    cells = edges_by_cell(areas, list(dict.fromkeys(keep)), size)
-    keyed = points.withColumn("cx", geo.cell(F.col(lon), size)).withColumn("cy", geo.cell(F.col(lat), size))
-    return (
-        _join_cells(keyed, cells)
-        .filter(geo.inside(F.col(lon), F.col(lat), F.col("_edges")))
-        .drop("cx", "cy", "_edges")
-    )
+    keep = list(dict.fromkeys(keep))
+    placed = points.filter((F.abs(lon) < float("inf")) & (F.abs(lat) < float("inf")))
+    places = cut_lineage(placed.groupBy(F.col(lon).alias("lon"), F.col(lat).alias("lat")).agg(F.count("*").alias("_n")))
+    found = cells.places_in_areas(places.select("lon", "lat"), areas, keep, size)
+
+    def named(df):
+        return df.withColumnsRenamed({"lon": lon, "lat": lat})
+
+    return salted_join(placed, named(found), [lon, lat], counts=named(places)).select(*points.columns, *keep)
 
 
 def _neighbourhood(df: DataFrame, lon: str, lat: str, size: float) -> DataFrame:
@@ -104,9 +88,9 @@ def _closest_in_reach(coords: DataFrame, centres: DataFrame, reach_deg: float) -
     Only coordinates and (id, place) travel; the minimum is combined map-side.
     """
     c = centres.select(F.col("poly_id").alias("_id"), F.col("poly_lon").alias("_lon"), F.col("poly_lat").alias("_lat"))
-    cells = c.withColumn("cx", geo.cell(F.col("_lon"), reach_deg)).withColumn("cy", geo.cell(F.col("_lat"), reach_deg))
+    homes = cells.in_cell(c, "_lon", "_lat", reach_deg)
     gap = geo.planar_km(F.col("lon"), F.col("lat"), F.col("_lon"), F.col("_lat"))
-    pairs = _join_cells(_neighbourhood(coords, "lon", "lat", reach_deg), cells)
+    pairs = _join_cells(_neighbourhood(coords, "lon", "lat", reach_deg), homes)
     return (
         pairs.withColumn("poly_distance", gap)
         .filter(F.col("poly_distance") <= reach_deg * geo.KM_PER_DEGREE)
@@ -150,15 +134,15 @@ def touching_areas(areas: DataFrame, size: float = 0.25, key: str = "poly_id") -
 
     Segments, not areas, are the unit: each is keyed by the cells it passes through.
     """
-    cells = _segment_cells(areas, F.col(key).alias("id"), size)
-    other = cells.select(F.col("id").alias("id2"), F.col("seg").alias("seg2"), "cx", "cy")
-    pairs = cells.join(other, ["cx", "cy"]).filter("id <> id2")
+    segs = _segment_cells(areas, F.col(key).alias("id"), size)
+    other = segs.select(F.col("id").alias("id2"), F.col("seg").alias("seg2"), "cx", "cy")
+    pairs = cells.meet(segs, other, size, _refine("seg"), _refine("seg2"), cells.many_pairs()).filter("id <> id2")
     met = (
         pairs.filter(geo.segments_meet(F.col("seg"), F.col("seg2")))
         .groupBy("id", "id2")
         .agg(F.max(geo.segments_cross(F.col("seg"), F.col("seg2"))).alias("crossing"))
     )
-    mids = cells.select("id", F.col("seg.x1").alias("lon"), F.col("seg.y1").alias("lat")).distinct()
+    mids = segs.select("id", F.col("seg.x1").alias("lon"), F.col("seg.y1").alias("lat")).distinct()
     inner = points_in_areas(mids, areas.select(F.col(key).alias("_other"), "rings"), "lon", "lat", ["_other"], size)
     nested = inner.filter(F.col("id") != F.col("_other")).select("id", F.col("_other").alias("id2")).distinct()
     nested = nested.unionByName(nested.select(F.col("id2").alias("id"), F.col("id").alias("id2")))
@@ -172,23 +156,19 @@ def touching_areas(areas: DataFrame, size: float = 0.25, key: str = "poly_id") -
 def overlap_weights(areas: DataFrame, outer: DataFrame, key: str, outer_key: str, size: float) -> DataFrame:
     """Shared area in km² of each overlapping pair, exact on the equal-area plane.
 
-    Pairs whose boxes share a cell of `size` degrees are found first; a row then holds the
-    edges of two shapes. Pairs that only touch are left out: less than 1e-9 of the smaller
-    area is taken as rounding.
+    Summed over cells of about `size` degrees, which are cut where borders are dense. Pairs that
+    only touch are left out: less than 1e-9 of the smaller area is taken as rounding.
     """
-    def prepared(df, k, edges, whole):
-        flat = geo.equal_area(F.col("rings"))
-        return df.select(k, geo.edges_of(flat).alias(edges), geo.area(flat).alias(whole))
-
-    near = covering_cells(areas.select(key, "rings"), size).select(key, "cx", "cy")
-    near = near.join(covering_cells(outer.select(outer_key, "rings"), size).select(outer_key, "cx", "cy"), ["cx", "cy"])
-    both = (
-        near.select(key, outer_key).distinct()
-        .join(prepared(areas, key, "_a", "_wa"), key)
-        .join(prepared(outer, outer_key, "_b", "_wb"), outer_key)
-    )
-    found = both.select(key, outer_key, geo.shared_area(F.col("_a"), F.col("_b")).alias("area_overlap"), F.least("_wa", "_wb").alias("_w"))
-    return found.filter(F.col("area_overlap") > 1e-9 * F.col("_w")).drop("_w")
+    def flat(df, k):
+        return df.select(k, geo.equal_area(F.col("rings")).alias("rings"))
+
+    def whole(df, k, out):
+        return df.select(k, geo.area(F.col("rings")).alias(out))
+
+    a, b = flat(areas, key), flat(outer, outer_key)
+    shared = cells.shared_areas(a, b, key, outer_key, size * geo.KM_PER_DEGREE)
+    sized = shared.join(whole(a, key, "_wa"), key).join(whole(b, outer_key, "_wb"), outer_key)
+    return sized.filter(F.col("shared") > 1e-9 * F.least("_wa", "_wb")).select(key, outer_key, F.col("shared").alias("area_overlap"))
 
 
 def own_share(weights: DataFrame, areas: DataFrame, key: str) -> DataFrame:
@@ -215,7 +195,7 @@ def meeting_pairs(areas: DataFrame, layer: DataFrame, key: str, name: str, size:
     layer = layer.select(F.col(name).alias("_n"), "rings")
     left = _segment_cells(areas, F.col(key), size)
     right = _segment_cells(layer, F.col("_n"), size).withColumnRenamed("seg", "seg2")
-    met = _join_cells(left, right).filter(geo.segments_meet(F.col("seg"), F.col("seg2"))).select(key, "_n")
+    met = cells.meet(left, right, size, _refine("seg"), _refine("seg2"), cells.many_pairs()).filter(geo.segments_meet(F.col("seg"), F.col("seg2"))).select(key, "_n")
     within = points_in_areas(_ring_starts(areas, F.col(key)), layer, "lon", "lat", ["_n"], size).select(key, "_n")
     around = points_in_areas(_ring_starts(layer, F.col("_n")), areas, "lon", "lat", [key], size).select(key, "_n")
     return met.unionByName(within).unionByName(around).distinct().withColumnRenamed("_n", name)
@@ -237,7 +217,7 @@ def circles_meeting_areas(places: DataFrame, areas: DataFrame, key: str, name: s
     margin = radius_m / 1000.0 / geo.KM_PER_DEGREE * 1.2
     named = areas.select(F.col(name).alias("_n"), "rings")
     spots = places.select(key, "lon", "lat")
-    keyed = spots.withColumn("cx", geo.cell(F.col("lon"), size)).withColumn("cy", geo.cell(F.col("lat"), size))
+    keyed = cells.in_cell(spots, "lon", "lat", size)
     kx = F.cos(F.radians("lat")) * geo.KM_PER_DEGREE
 
     def near(e):
@@ -249,7 +229,9 @@ def circles_meeting_areas(places: DataFrame, areas: DataFrame, key: str, name: s
         px, py = ax + t * dx, ay + t * dy
         return px * px + py * py <= (radius_m / 1000.0) ** 2
 
-    close = _join_cells(keyed, _segment_cells(named, F.col("_n"), size, margin)).filter(near(F.col("seg"))).select(key, "_n")
+    borders = _segment_cells(named, F.col("_n"), size, margin)
+    met = cells.meet(keyed, borders, size, _at("lon", "lat"), _refine("seg", margin), cells.many_pairs())
+    close = met.filter(near(F.col("seg"))).select(key, "_n")
     return close.unionByName(points_in_areas(spots, named, "lon", "lat", ["_n"], size).select(key, "_n")).distinct()
 
 
@@ -259,11 +241,7 @@ def areas_on_line(areas: DataFrame, lines: DataFrame, key: str, size: float, buf
     The line of the smallest preference wins where several meet an area.
     """
     seg = F.struct("x1", "y1", "x2", "y2")
-    cut = (
-        lines.withColumn("cx", F.explode(_span(F.least("x1", "x2") - buffer_deg, F.greatest("x1", "x2") + buffer_deg, size)))
-        .withColumn("cy", F.explode(_span(F.least("y1", "y2") - buffer_deg, F.greatest("y1", "y2") + buffer_deg, size)))
-        .select("line_id", "preference", "cx", "cy", seg.alias("seg2"))
-    )
+    dealt = _deal(lines.select("line_id", "preference", seg.alias("seg2")), "seg2", size, buffer_deg)
     seg_c = F.col("seg2")
     if buffer_deg > 0:
         def gap2(px, py, e):
@@ -286,7 +264,8 @@ def areas_on_line(areas: DataFrame, lines: DataFrame, key: str, size: float, buf
         def close(e):
             return geo.segments_meet(e, seg_c)
 
-    border = _join_cells(cut, _segment_cells(areas, F.col(key), size)).filter(close(F.col("seg"))).select(key, "preference", "line_id")
+    met = cells.meet(dealt, _segment_cells(areas, F.col(key), size), size, _refine("seg2", buffer_deg), _refine("seg"), cells.many_pairs())
+    border = met.filter(close(F.col("seg"))).select(key, "preference", "line_id")
     starts = lines.select("line_id", "preference", F.col("x1").alias("lon"), F.col("y1").alias("lat"))
     started = points_in_areas(starts, areas, "lon", "lat", [key], size).select(key, "preference", "line_id")
     return (

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
+from wayflux.operators.ranking import running_total
+
 
 def _by(keys: list[str]) -> W:
     return W.partitionBy(*keys)
@@ -137,15 +139,12 @@ def day_index(keys: list[str], date: str) -> Column:
 def coverage(df: DataFrame, value: str, tie: str, share: float = 0.8) -> DataFrame:
     """Rows in falling order until they cover `share` of the total, plus one more row.
 
-    Runs on one row per area.
+    Sums go over ranges of rows, so no task sees all of them.
     """
-    run = F.sum(value).over(W.orderBy(F.col(value).desc(), tie).rowsBetween(W.unboundedPreceding, 0))
-    total = F.sum(value).over(W.partitionBy(F.lit(1)))
-    c = df.withColumn("coverage", run / total)
-    order = W.orderBy(F.col(value).desc(), tie)
-    # rows at or under the share, the one that passes it, and one more
-    below = F.coalesce(F.lag("coverage", 1).over(order), F.lit(0.0))
-    return c.withColumn("_b", below).filter(F.col("_b") <= share).drop("_b")
+    summed = running_total(df.withColumn("_s", -F.col(value)), value, ["_s", tie])
+    # rows at or under the share, the one that passes it, and one more: what comes before a row counts
+    total = F.nullif("total", F.lit(0))
+    return summed.filter(F.coalesce(F.col("earlier") / total, F.lit(0.0)) <= share).select(*df.columns, (F.col("running") / total).alias("coverage"))
 
 
 def lag_features(df: DataFrame, keys: list[str], order: str, cols: dict[str, str], days_back: int) -> DataFrame:

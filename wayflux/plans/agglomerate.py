@@ -141,7 +141,7 @@ def _planar_pairs(sites: DataFrame, reach_km: float) -> DataFrame:
     )
     gap = geo.planar_km(F.col("lon"), F.col("lat"), F.col("_x"), F.col("_y"))
     return (
-        home.join(probe, ["cx", "cy"]).filter("id <> _b").withColumn("gap", gap).filter(F.col("gap") < reach_km)
+        spatial._join_cells(probe, home).filter("id <> _b").withColumn("gap", gap).filter(F.col("gap") < reach_km)
         .select(F.col("id").alias("a"), F.col("_b").alias("b"), "gap")
     )
 

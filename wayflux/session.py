@@ -52,20 +52,20 @@ def salted_join(
     how: str = "inner",
     rows_per_task: int = 1_000_000,
     spread: list[str] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose hot keys on the `big` side are spread over several tasks.
 
     Keys with more than `rows_per_task` rows (at most rows / rows_per_task of them) get a
     salt count; `small` rows of those keys are repeated once per salt, so no row is lost.
     The salt is a hash of the `spread` columns (default: the whole row), hence the same
-    when a task is run again.
+    when a task is run again. `counts` (on, `_n`) saves the count of `big` where it is known.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salted_join keeps the big side; {how} is not supported")
+    counts = big.groupBy(*on).agg(F.count("*").alias("_n")) if counts is None else counts
     hot = (
-        big.groupBy(*on)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > rows_per_task)
+        counts.filter(F.col("_n") > rows_per_task)
         .select(*on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_salts"))
     )
     left = big.join(hot, on, "left").withColumn(
