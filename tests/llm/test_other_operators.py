@@ -3,6 +3,8 @@
 import hashlib
 import itertools
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -147,6 +149,25 @@ def test_neighbours_recall_and_ties(spark):
     assert np.bincount(cut).max() - np.bincount(cut).min() <= 3
 
 
+def test_every_query_finds_k_where_there_are_k(spark):
+    """Partitions of few rows, one of them asked; queries of another length than most vectors."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(60, 8))
+    router = ann.Router(vectors, 16, steps=30)
+    router.probes = 1
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(100 + i, [1.0, 2.0, 3.0, float(i)]) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, (F.col("vec_id") % 4 == 0) | (F.col("vec_id") >= 100), router=router).collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert set(got) == set(range(0, 60, 4)) and all(len(v) == 5 for v in got.values())
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    best = {q: set(np.argsort(-(unit @ unit[q]))[1:6].tolist()) for q in got}
+    assert sum(len(best[q] & set(v)) for q, v in got.items()) > 25
+    few = df.filter("vec_id < 4")
+    assert ann.search(few, F.lit(True), router=router).count() == 12
+
+
 def test_url_rules_and_templates(spark):
     rows = [("http://A.net/x", "a.net", "/x", "net/", "block"), ("http://sub.Example.net/en/1?q#f", "sub.example.net", "/en/1", "example.net/en/", "allow"),
             ("http://example.com/de/2", "example.com", "/de/2", "example.com/de/", "block"), ("https://w.org/fr/", "w.org", "/fr/", "org/fr/", "allow"),
@@ -174,6 +195,97 @@ def test_url_rules_say_nothing_beyond_their_path(spark):
     assert all(bool(r["r"]) == (r["v"] == ["block"]) for r in got)
 
 
+def plain_judgement(pages, rules):
+    """The template tree and the purities by plain loops: {url: (template, purity, evidence, verdict)}."""
+    def rule_of(host, path):
+        fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+        return max(fits, key=lambda r: len(r[1] + r[2]), default=None)
+
+    def typed(segment):
+        segment = re.sub(r"(?i)\b(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{8,}\b", "<x>", segment)
+        return re.sub("[0-9]+", "<n>", segment)
+
+    def kinds(segs):
+        return "".join("n" if s == "<n>" else "x" if "<x>" in s else "m" if "<n>" in s else "w" for s in segs)
+
+    shapes, of_url = {}, {}
+    for url in pages:
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        segs, rule = tuple(typed(s) for s in path.split("/") if s), rule_of(host, path)
+        segs = segs if len(segs) <= 4 else (*segs[:4], "**")
+        of_url[url] = host, rule is not None, segs, rule
+        n, labelled, bad = shapes.get((host, rule is not None, segs), (0, 0, 0))
+        shapes[host, rule is not None, segs] = n + 1, labelled + (rule is not None), bad + (rule is not None and rule[0] == "block")
+    template = {s: () for s in shapes}
+    for level in range(max(len(s[2]) for s in shapes)):
+        nodes = {}
+        for s in shapes:
+            if len(s[2]) > level:
+                nodes.setdefault((s[0], s[1], template[s]), {}).setdefault(s[2][level], []).append(s)
+        for branches in nodes.values():
+            size = {b: [sum(shapes[s][k] for s in own) for k in range(3)] for b, own in branches.items()}
+            every = [sum(v[k] for v in size.values()) for k in range(3)]
+            rare = {b for b, v in size.items() if len(size) >= urls.FAN_OUT and v[0] * urls.FAN_OUT < every[0]}
+            below = {b: Counter() for b in rare}
+            for b in rare:
+                for s in branches[b]:
+                    below[b][kinds(s[2][level + 1 :])] += shapes[s][0]
+            pool = sum(below.values(), Counter())
+            free, total = len(pool) - 1, sum(pool.values())
+            labels = sum(v[1] > 0 for v in size.values())
+            for b, own in branches.items():
+                n, labelled, bad = size[b]
+                if b in rare:
+                    x2 = sum(c * c * total / pool[k] for k, c in below[b].items()) / n - n
+                    cut = 2 / (9 * free) if free else 0
+                    pooled = not (free > 0 and n >= urls.EXPECTED * (free + 1) and x2 > free * (1 - cut + 1.645 * cut**0.5) ** 3)
+                else:
+                    p = every[2] / every[1] if every[1] else 0
+                    differs = labelled and 0 < p < 1 and abs(bad / labelled - p) > 1.96 * (p * (1 - p) / labelled) ** 0.5
+                    pooled = labelled > 0 and labels > 1 and not differs
+                for s in own:
+                    template[s] += ("*" if pooled else b,)
+    known = [(v[1], v[2]) for v in shapes.values()]
+    overall = (sum(b for _, b in known) + 2) / (sum(x for x, _ in known) + 4)
+    out = {}
+    for url, (host, fits, segs, rule) in of_url.items():
+        mine = [s for s in shapes if s[:2] == (host, fits) and template[s] == template[host, fits, segs]]
+        if fits:
+            on_host = [v for s, v in shapes.items() if s[:2] == (host, True)]
+            prior = (sum(v[2] for v in on_host) + 4 * overall) / (sum(v[1] for v in on_host) + 4)
+            seen = [shapes[s] for s in mine]
+        else:
+            prior = (0 + 4 * 0.5) / 4
+            seen = [v for s in mine for o, v in shapes.items() if o[0] != host and o[2] == s[2] and v[1]]
+        evidence, bad = sum(v[1] for v in seen), sum(v[2] for v in seen)
+        purity = (bad + 4 * prior) / (evidence + 4)
+        verdict = rule[0] if rule else "block" if purity >= urls.BLOCK_FROM else "allow"
+        out[url] = "/" + "/".join(template[host, fits, segs]), round(purity, 9), evidence, verdict
+    return out
+
+
+def test_templates_and_purities_equal_plain_loops(spark):
+    rng = random.Random(5)
+    hosts = ["a.net", "b.net", "x.example.net", "p.example.com", "q.example.com", "r.org", "s.org", "t.io"]
+    rules = RULES + [("block", "t.io", "/u/bad/"), ("allow", "t.io", "/u/good/")]
+    pages = []
+    for h in hosts:
+        for k in range(120):
+            pages.append(f"http://{h}/{rng.choice(['en', 'de', 'fr', 'es'])}/{rng.choice([str(k), f'{k}.html', 'abc12345f'])}")
+        for k in range(60):  # rare branches, some with another kind of rest
+            pages.append(f"https://{h}/tag{chr(97 + k % 26)}{chr(97 + k % 7)}/{'x/y/z' if k % 26 == 3 else k}")
+    pages += [f"http://t.io/u/{w}/{k}" for w in ("bad", "good", "unknown") for k in range(40)]
+    pages += [f"http://t.io/odd/{'one' if k % 2 else 'two'}" for k in range(9)] + [f"http://t.io/{'long/' * 300}{k}" for k in range(3)] + [None, "", "nothing", "http://r.org"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(pages)], "page_id long, url string")
+    got = {r["url"]: (r["template"], round(r["purity"], 9), r["evidence"], r["verdict"]) for r in urls.judge(df, rules, levels=4).select("url", "_url.*").collect()}
+    want = plain_judgement(pages, rules)
+    assert got == want
+    free = [v for u, v in want.items() if u and not any(x in u for x in (".net", "/de/", "/fr/")) and v[2]]
+    assert {v[3] for u, v in want.items() if u and ".org/de/" in u} == {"block"} and {v[3] for v in free} == {"allow", "block"}
+    assert {v[3] for u, v in want.items() if u and "example.com/en/" in u} == {"allow"}
+
+
 def test_pipeline_stages_against_their_operators(spark):
     root = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{root}/documents.parquet")

@@ -138,11 +138,13 @@ class Router:
         return np.argsort(-(np.tanh(x @ self.w[0] + self.w[1]) @ self.w[2] + self.w[3]), axis=1, kind="stable")
 
 
-def usable_vectors(rows: DataFrame, id_col: str, vector: str) -> DataFrame:
-    """(id, v) with v array<double>: no null id, no null or non-finite component, not zero, of the commonest length."""
+def usable_vectors(rows: DataFrame, id_col: str, vector: str, keep: Column | None = None) -> DataFrame:
+    """(id, v, kept) with v array<double>: no null id, no null or non-finite component, not zero, of the commonest
+    length; `kept` says whether `keep` holds."""
     v = F.col(vector).cast("array<double>")
     fine = v.isNotNull() & F.col(id_col).isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    good = rows.filter(F.coalesce(fine, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    kept = F.coalesce(F.lit(False) if keep is None else keep, F.lit(False))
+    good = rows.filter(F.coalesce(fine, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), v.alias("v"), kept.alias("kept"))
     size = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return good.filter(F.size("v") == (size["n"] if size else 0))
 
@@ -153,7 +155,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
     Fit on at most about `fit_rows` distinct vectors (hash sample); every row is indexed under the partition
     that the classifier gives it, and a query asks its most probable partitions, as many as the sample needs
     for ROUTED of its neighbours. Found rows are ranked by their cosine in double precision, ties to the
-    smaller id; the query's own rows (its id) do not count.
+    smaller id; the query's own rows (its id) do not count. A query that finds fewer than k goes on to all
+    other partitions, so it only returns fewer where there are no more.
 
     Equal vectors are one entry with their k + 1 smallest ids, since no other of them can be in a result.
     Partitions and their queries are cut in chunks of CHUNK rows. Null ids and vectors that are null, empty,
@@ -162,8 +165,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
     """
     spark = rows.sparkSession
     stages = Stages(spark, "ann")
-    asked = free_query = "_asks"
-    base = usable_vectors(rows, id_col, vector).distinct()
+    usable = usable_vectors(rows, id_col, vector, is_query)
+    base = usable.select("id", "v").distinct()
     least = Window.partitionBy("h", "v").orderBy("id")
     entries = base.withColumn("h", F.xxhash64("v")).withColumn("n", F.row_number().over(least)).filter(F.col("n") <= k + 1)
     entries = stages.keep(entries.groupBy("h", "v").agg(F.array_sort(F.collect_list("id")).alias("ids")), "entries")
@@ -190,14 +193,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
     parts_of = T.ArrayType(T.IntegerType())
     index = add_column(entries, "parts", parts_of, route(1)).select("v", "ids", "h", F.get("parts", F.lit(0)).alias("part"))
     index = stages.keep(index, "index")
-    queries = usable_vectors(rows.filter(is_query), id_col, vector).distinct()
-    queries = add_column(queries, "parts", parts_of, route(router.probes)).select(F.col("id").alias("query_id"), "v", F.explode("parts").alias("part"))
-    queries = stages.keep(queries, "queries")
-    # at most one row per partition of the model
-    count = index.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")).join(queries.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).alias("blocks")), "part")
-    spread = lambda n: F.pmod(F.col("_at"), F.col(n))
-    left = index.withColumn("_at", F.xxhash64("h")).join(F.broadcast(count), "part").select("part", spread("chunks").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "v", "ids")
-    right = queries.withColumn("_at", F.xxhash64("query_id")).join(F.broadcast(count), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), spread("blocks").alias("block"), "query_id", "v")
+    asking = usable.filter("kept").select("id", "v").distinct()
+    asking = stages.keep(add_column(asking, "parts", parts_of, route(router.parts)).withColumnRenamed("id", "query_id"), "queries")
 
     def rerank(entries: pa.Table, asks: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -217,6 +214,28 @@ def search(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
         return pa.table({"query_id": pa.array([o[0] for o in out], pa.int64()), "vec_id": pa.array([o[1] for o in out], pa.int64()), "score": pa.array([o[2] for o in out], pa.float64())})
 
     grid = ["part", "chunk", "block"]
-    found = left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInArrow(rerank, "query_id long, vec_id long, score double")
+    spread = lambda n: F.pmod(F.col("_at"), F.col(n))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def nearest(queries: DataFrame) -> DataFrame:
+        """The k nearest entries of the partitions asked by rows (query_id, v, part)."""
+        # at most one row per partition of the model
+        count = index.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).alias("chunks")).join(queries.groupBy("part").agg(F.ceil(F.count("*") / CHUNK).alias("blocks")), "part")
+        left = index.withColumn("_at", F.xxhash64("h")).join(F.broadcast(count), "part").select("part", spread("chunks").alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "v", "ids")
+        right = queries.withColumn("_at", F.xxhash64("query_id")).join(F.broadcast(count), "part").select("part", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), spread("blocks").alias("block"), "query_id", "v")
+        return left.groupBy(*grid).cogroup(right.groupBy(*grid)).applyInArrow(rerank, "query_id long, vec_id long, score double")
+
+    def ranked(found: DataFrame) -> DataFrame:
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best))
+        return found.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    first = asking.select("query_id", "v", F.explode(F.slice("parts", 1, router.probes)).alias("part"))
+    found = stages.keep(ranked(nearest(first)), "found")
+    if router.probes >= router.parts:
+        return found
+    enough = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
+    more = asking.join(enough, "query_id", "left_anti").select("query_id", "v", F.explode(F.slice("parts", router.probes + 1, router.parts)).alias("part"))
+    more = stages.keep(more, "more")
+    if more.isEmpty():
+        return found
+    return ranked(found.drop("rank").unionByName(nearest(more)))

@@ -57,7 +57,7 @@ def op6_neighbours(spark: SparkSession, root: str) -> DataFrame:
 
 def op7_url_filter(spark: SparkSession, root: str) -> DataFrame:
     out = urls.judge(table(spark, root, "pages").select("page_id", "url"), RULES)
-    return out.select("page_id", "_url.host", "_url.path", "_url.rule", "_url.verdict", "_url.template", "_url.purity")
+    return out.select("page_id", "_url.host", "_url.path", "_url.rule", "_url.verdict", "_url.template", "_url.purity", "_url.evidence")
 
 
 def op8_jaccard(spark: SparkSession, root: str) -> DataFrame:

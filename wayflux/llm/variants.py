@@ -300,7 +300,7 @@ def near_words(counted: DataFrame, stages: Stages, backwards: bool) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array(word, pa.string())], names=["block", "key"])
 
     visits = members.select("block", "key").mapInArrow(visit, "block long, key string").withColumn("n", F.lit(None).cast("long"))
-    met = members.unionByName(visits).repartition("block").sortWithinPartitions("block", F.col("n").isNull(), "key")
+    met = members.unionByName(visits).repartition(max(1, -(-total // size)), "block").sortWithinPartitions("block", F.col("n").isNull(), "key")
 
     def pairs(index: SortedList, counts: np.ndarray, asked: list[str]) -> Iterator[pa.RecordBatch]:
         for a in range(0, len(asked), BLOCK_WORDS):
