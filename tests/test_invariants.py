@@ -5,6 +5,7 @@ import itertools
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from wayflux.functions import geo, special
@@ -134,23 +135,27 @@ def test_points_in_areas_match_plain_ray_test(spark):
         assert got == {(i, k) for i, (x, y) in enumerate(points) for k, ring in areas if within(x, y, ring)}
 
 
-def test_page_rank_sums_to_one_and_matches_numpy(spark):
-    e = [("a", "b", 2.0), ("b", "c", 1.0), ("a", "d", 1.0)]
-    ids, w = ["a", "b", "c", "d", "alone"], [1.0, 0.0, 1.0, 0.0, 2.0]
-    nodes = spark.createDataFrame([("h", i, x) for i, x in zip(ids, w)], "hour string, identifier string, weight double")
-    edges = spark.createDataFrame([("h", *x) for x in e], "hour string, id1 string, id2 string, weight double")
-    got = {r.identifier: r.centrality for r in graphs.personalised_rank(nodes, edges, ["hour"], rows_per_task=1).collect()}
-    m = np.zeros((5, 5))
-    for a, b, x in e:
-        i, j = ids.index(a), ids.index(b)
-        m[i, j] += x
-        m[j, i] += x
-    reset = np.array(w) / sum(w)
-    s = m.sum(axis=1)
-    walk = (m / np.where(s > 0, s, 1)[:, None]).T + np.outer(reset, s == 0)
-    r = np.linalg.solve(np.eye(5) - 0.85 * walk, 0.15 * reset)
-    assert abs(sum(got.values()) - 1) < 1e-9
-    assert np.allclose([got[i] for i in ids], r, rtol=0, atol=1e-12)
+@pytest.mark.parametrize("rows_per_task", [1, 6, 1_000_000])
+def test_page_rank_sums_to_one_and_matches_numpy(spark, rows_per_task):
+    """Slices that go their rounds in one task, over all tasks, and one of each."""
+    slices = {"h": ([("a", "b", 2.0), ("b", "c", 1.0), ("a", "d", 1.0)], ["a", "b", "c", "d", "alone"], [1.0, 0.0, 1.0, 0.0, 2.0])}
+    slices["i"] = ([(f"n{i}", f"n{(i * 3 + 1) % 9}", 1.0 + i) for i in range(9) if i != (i * 3 + 1) % 9], [f"n{i}" for i in range(9)], [0.0] * 9)
+    nodes = spark.createDataFrame([(h, i, x) for h, (_, ids, w) in slices.items() for i, x in zip(ids, w)], "hour string, identifier string, weight double")
+    edges = spark.createDataFrame([(h, *x) for h, (e, _, _) in slices.items() for x in e], "hour string, id1 string, id2 string, weight double")
+    every = {(r.hour, r.identifier): r.centrality for r in graphs.personalised_rank(nodes, edges, ["hour"], rows_per_task=rows_per_task).collect()}
+    for h, (e, ids, w) in slices.items():
+        n = len(ids)
+        m = np.zeros((n, n))
+        for a, b, x in e:
+            i, j = ids.index(a), ids.index(b)
+            m[i, j] += x
+            m[j, i] += x
+        reset = np.array(w) / sum(w) if sum(w) else np.full(n, 1 / n)
+        s = m.sum(axis=1)
+        walk = (m / np.where(s > 0, s, 1)[:, None]).T + np.outer(reset, s == 0)
+        r = np.linalg.solve(np.eye(n) - 0.85 * walk, 0.15 * reset)
+        got = [every[h, i] for i in ids]
+        assert abs(sum(got) - 1) < 1e-9 and np.allclose(got, r, rtol=0, atol=1e-12)
 
 
 def test_communities_split_two_groups(spark):
@@ -226,19 +231,71 @@ def test_gamma_numbers():
     q = special.gamma_quantile(0.9, np.array([1.0, 4.0, 250.0, np.nan]), np.array([2.0, 1.0, 0.5, 1.0]))
     assert abs(q[0] + 2 * math.log(0.1)) < 1e-9 and math.isnan(q[3])
     assert abs(special.gamma_cdf(np.array([q[2]]), 250.0, 0.5)[0] - 0.9) < 1e-9
-    w = epi.serial_weights(6.48, 3.83)
+    w = epi.serial_weights(6.48, 3.83, 400)
     assert abs(sum(w) - 1) < 1e-6 and abs(sum(i * v for i, v in enumerate(w)) - 6.48) < 0.05
 
 
-def test_threshold_recovers_parameters():
-    rng = np.random.default_rng(4)
-    mob = rng.random(120)
-    onset = [200.0]
-    for t in range(119):
-        rt = 2.6 * np.exp(-0.63 * (1 + mob[t]))
-        onset.append(max(float(rng.poisson(onset[-1] * np.exp((rt - 1) / 4.0))), 1.0))
-    beta, r0 = epi.fit_threshold(mob, np.array(onset))
-    assert 0.3 < beta < 1.6 and 2.0 <= r0 <= 5.0
+def simulated(seed, days, start):
+    rng = np.random.default_rng(seed)
+    mob, onset = rng.random(days), [float(start)]
+    for t in range(days - 1):
+        onset.append(max(float(rng.poisson(onset[-1] * np.exp((2.6 * np.exp(-0.63 * (1 + mob[t])) - 1) / 4.0))), 1.0))
+    return mob, np.array(onset)
+
+
+@pytest.mark.parametrize("start, close", [(10_000, 0.05), (1_000_000, 0.005)])
+def test_threshold_recovers_parameters(start, close):
+    mob, onset = simulated(4, 160, start)
+    beta, r0 = epi.fit_threshold(mob, onset)
+    truth = math.log(2.6) / 0.63 - 1
+    assert abs(math.log(r0) / beta - 1 - truth) < close * truth and 2.0 <= r0 <= 5.0
+
+
+@pytest.mark.parametrize("seed, days, start", [(1, 30, 400), (2, 60, 3000), (3, 15, 5), (5, 120, 1)])
+def test_threshold_equals_a_fine_grid(seed, days, start):
+    """Also where beta has a long tail up to its bound."""
+    mob, onset = simulated(seed, days, start)
+    k, base, m = np.round(onset[1:]), onset[:-1], mob[:-1]
+
+    def grid(low, high, n):
+        step = (high - low) / n
+        return low + step * (np.arange(n) + 0.5)
+
+    r, w = grid(2, 5, 60), grid(math.log(1 / 60), math.log(8), 120)
+    ranges = [(-100, -10, 90), (-10, 10, 400), (10, 100, 90)]
+    beta, share = np.concatenate([grid(*x) for x in ranges]), np.concatenate([np.full(n, (high - low) / n) for low, high, n in ranges])
+    lp = np.empty((len(beta), len(r)))
+    v = np.exp(w)
+    for i, x in enumerate(beta):
+        with np.errstate(over="ignore", invalid="ignore"):
+            a = np.minimum(r[:, None] * np.exp(-x * (1 + m)) - 1, 1e6)
+            ll = (a @ k)[:, None] * v - sum(b * np.exp(a[:, t, None] * v) for t, b in enumerate(base)) - 6 * w - 1.5 / v
+        ll = np.where(np.isfinite(ll), ll, -1e300)
+        top = ll.max(axis=1)
+        lp[i] = top + np.log(np.exp(ll - top[:, None]).sum(axis=1))
+    mass = np.exp(lp - lp.max()) * share[:, None]
+    mass /= mass.sum()
+    want = math.log((mass.sum(axis=0) * r).sum()) / (mass.sum(axis=1) * beta).sum() - 1
+    beta, r0 = epi.fit_threshold(mob, onset)
+    assert abs(math.log(r0) / beta - 1 - want) < 2e-3 * max(1.0, abs(want))
+
+
+def test_weights_are_the_integrated_density():
+    mean, std = 6.48, 3.83
+    a, b = ((mean - 1) / std) ** 2, std**2 / (mean - 1)
+    u = (np.arange(400_000) + 0.5) * 5e-4  # the interval less one day
+    f = special.gamma_pdf(u, a, b) * 5e-4
+    w = epi.serial_weights(mean, std, 150)
+    for k in (1, 2, 5, 9, 40):
+        assert abs((f * np.maximum(1 - np.abs(u + 1 - k), 0)).sum() - w[k]) < 1e-7
+    assert w[149] == 0
+
+
+def test_convolution_and_weights_of_long_series():
+    x, w = np.random.default_rng(1).random(700), epi.serial_weights(300.0, 120.0, 700)
+    plain = [sum(x[t - i] * w[i] for i in range(t + 1)) for t in range(700)]
+    assert np.allclose(epi.convolved(x, w), plain, atol=1e-12) and w[400:].sum() > 0.1
+    assert np.allclose(epi.convolved(x[:50], w[:50]), plain[:50], atol=1e-12)
 
 
 def test_warp_distance_matches_table():

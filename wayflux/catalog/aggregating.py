@@ -66,8 +66,17 @@ def _(t):
 
 
 @query("merged_geometry", """
-    WITH r AS (SELECT community_id, '((' || w || ' ' || s || ', ' || e || ' ' || s || ', ' || e || ' ' || n || ', ' || w || ' ' || n || ', ' || w || ' ' || s || '))' AS ring FROM squares JOIN community_map USING (poly_id))
-    SELECT community_id, 'MULTIPOLYGON (' || string_agg(ring, ', ' ORDER BY ring) || ')' AS geometry FROM r GROUP BY 1""", covers="D11")
+    WITH RECURSIVE d AS (SELECT community_id AS c, unnest([w, e, e, w]) AS x1, unnest([s, s, n, n]) AS y1, unnest([e, e, w, w]) AS x2, unnest([s, n, n, s]) AS y2 FROM squares JOIN community_map USING (poly_id)),
+    b AS (SELECT * FROM d a WHERE NOT EXISTS (SELECT 1 FROM d o WHERE o.c = a.c AND o.x1 = a.x2 AND o.y1 = a.y2 AND o.x2 = a.x1 AND o.y2 = a.y1)),
+    f AS (SELECT a.*, o.x2 AS x3, o.y2 AS y3 FROM b a JOIN b o ON o.c = a.c AND o.x1 = a.x2 AND o.y1 = a.y2
+          QUALIFY row_number() OVER (PARTITION BY a.c, a.x1, a.y1, a.x2, a.y2 ORDER BY (a.x2 - a.x1) * (o.y2 - o.y1) - (a.y2 - a.y1) * (o.x2 - o.x1) DESC) = 1),
+    k AS (SELECT c, x1 AS sx, y1 AS sy, x2 AS tx, y2 AS ty, x2, y2, x3, y3, [{'x': x1, 'y': y1}] AS path FROM f
+          UNION ALL SELECT k.c, sx, sy, tx, ty, f.x2, f.y2, f.x3, f.y3, list_append(path, {'x': k.x2, 'y': k.y2}) FROM k JOIN f ON f.c = k.c AND f.x1 = k.x2 AND f.y1 = k.y2 AND f.x2 = k.x3 AND f.y2 = k.y3
+          WHERE NOT (k.x2 = sx AND k.y2 = sy AND k.x3 = tx AND k.y3 = ty)),
+    r AS (SELECT DISTINCT c, list_filter(path, lambda p, i: (p.x - path[(i + len(path) - 2) % len(path) + 1].x) * (path[i % len(path) + 1].y - p.y) <> (p.y - path[(i + len(path) - 2) % len(path) + 1].y) * (path[i % len(path) + 1].x - p.x)) AS ring
+          FROM k WHERE x2 = sx AND y2 = sy AND x3 = tx AND y3 = ty AND {'x': sx, 'y': sy} = list_min(path)),
+    t AS (SELECT c, ring, '((' || array_to_string(list_transform(list_append(ring, ring[1]), lambda p: p.x || ' ' || p.y), ', ') || '))' AS part FROM r)
+    SELECT c AS community_id, 'MULTIPOLYGON (' || string_agg(part, ', ' ORDER BY ring) || ')' AS geometry FROM t GROUP BY 1""", covers="D11")
 def _(t):
     df = t.polygons.join(t.community_map.select("poly_id", "community_id"), "poly_id")
     return rules.agglomerate(df, rules.DEFAULT_RULES, ["community_id"], ["geometry"])
@@ -124,7 +133,7 @@ def _(t):
     return aggregates.weekly_rates(t.cases.select("poly_id", "date_time", "num_cases", "num_diseased"), t.polygons)
 
 
-@query("contacts_by_place", "SELECT lat, lon, count(*) AS total_contacts FROM good_contacts GROUP BY 1, 2", r="lat lon", covers="D20 D19")
+@query("contacts_by_place", "SELECT lat, lon, count(*) AS total_contacts FROM good_contacts GROUP BY 1, 2", r="lat lon", covers="D20")
 def _(t):
     return aggregates.contacts_by_place(t.good_contacts, 4)
 

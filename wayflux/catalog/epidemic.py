@@ -1,5 +1,8 @@
 """Onset, reproductive numbers, thresholds, series."""
 
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from wayflux.catalog.base import query
@@ -31,12 +34,46 @@ def _(t):
     return epi.adjust_right_censoring(onset(t), vec)
 
 
+def _smooth_sql(col: str) -> str:
+    """Centred weighted mean of seven rows of a window o, rounded half to even."""
+    lags = {k: col if k == 0 else f"{'lag' if k < 0 else 'lead'}({col}, {abs(k)}) OVER o" for k in range(-3, 4)}
+    weight = {k: repr(math.exp(-0.5 * (k / 2) ** 2)) for k in lags}
+    top = " + ".join(f"coalesce({x} * {weight[k]}, 0)" for k, x in lags.items())
+    bottom = " + ".join(f"CASE WHEN {x} IS NULL THEN 0 ELSE {weight[k]} END" for k, x in lags.items())
+    return f"round_even(({top}) / ({bottom}), 0)"
+
+
+def _rt_sql(series: str) -> str:
+    """Grid filter by plain recursion over the days of series(poly_id, date_time, v)."""
+    return f"""
+    WITH RECURSIVE {series},
+    v AS MATERIALIZED (SELECT poly_id, date_time, v + 1 AS v, row_number() OVER (PARTITION BY poly_id ORDER BY date_time) AS t FROM series),
+    x AS (SELECT i, i / 100e0 AS x FROM range(0, 1201) r(i)),
+    kc AS MATERIALIZED (SELECT a.i, b.i AS j, exp(-0.5 * ((a.x - b.x) / 0.25) ** 2) AS k FROM x a, x b),
+    k AS MATERIALIZED (SELECT kc.i, exp((any_value(x) - 1) / 5.5e0) AS g, list(k / s ORDER BY j) AS w FROM kc JOIN (SELECT j, sum(k) AS s FROM kc GROUP BY 1) USING (j) JOIN x ON x.i = kc.i GROUP BY kc.i),
+    st AS (SELECT poly_id, CAST(1 AS BIGINT) AS t, list_transform(range(0, 1201), lambda i: 1e0 / 1201) AS s FROM (SELECT DISTINCT poly_id FROM v)
+        UNION ALL SELECT poly_id, t, list_transform(p, lambda e: e / total) FROM (SELECT poly_id, t, list(u ORDER BY i) AS p, sum(u) AS total FROM (
+            SELECT poly_id, t, i, d * exp(l - max(l) OVER (PARTITION BY poly_id)) AS u FROM (
+                SELECT st.poly_id, st.t + 1 AS t, k.i, list_inner_product(k.w, st.s) AS d, b.v * ln(a.v * k.g) - a.v * k.g AS l
+                FROM st JOIN v a ON a.poly_id = st.poly_id AND a.t = st.t JOIN v b ON b.poly_id = st.poly_id AND b.t = st.t + 1, k)) GROUP BY ALL)),
+    p AS (SELECT *, sum(p) OVER (PARTITION BY poly_id, t ORDER BY i) AS c FROM (SELECT poly_id, t, unnest(s) AS p, unnest(range(0, 1201)) AS i FROM st WHERE t > 1)),
+    ends AS (SELECT poly_id, t, c, min(i) AS i FROM p GROUP BY ALL),
+    w AS (SELECT a.poly_id, a.t, a.i, b.i AS e FROM (SELECT poly_id, t, i, c + 0.5 AS c FROM p) a ASOF JOIN ends b ON a.poly_id = b.poly_id AND a.t = b.t AND a.c < b.c),
+    best AS (SELECT poly_id, t, arg_min(i, (e - i, i)) AS lo, arg_min(e, (e - i, i)) AS hi FROM w GROUP BY 1, 2)
+    SELECT poly_id, date_time, ml / 100e0 AS ml, lo / 100e0 AS low, hi / 100e0 AS high FROM (SELECT poly_id, t, arg_max(i, (p, -i)) AS ml FROM p GROUP BY 1, 2) JOIN best USING (poly_id, t) JOIN v USING (poly_id, t)"""
+
+
 @query("rt_by_area", covers="K3 K4 D40 H9")
 def _(t):
     return epi.rt_by_area(t.community_cases, t.delays)
 
 
-@query("rt_overall", covers="K4 K2 D32")
+@query("rt_overall", _rt_sql(f"""mean AS (SELECT i, avg(p) AS m FROM delays GROUP BY 1),
+    onset AS (SELECT date_time - CAST(i AS INTEGER) AS date_time, round_even(sum(n * m), 0) AS n FROM (SELECT date_time, sum(num_cases) AS n FROM cases GROUP BY 1), mean GROUP BY 1 HAVING sum(n * m) >= 1),
+    known AS (SELECT i, sum(m) OVER (ORDER BY i) AS c FROM mean),
+    adj AS (SELECT date_time, b, round_even(n / nullif(coalesce(c, 1), 0), 0) AS v FROM (SELECT *, row_number() OVER (ORDER BY date_time DESC) AS b FROM onset) LEFT JOIN known ON i = b - 1 WHERE b > 10),
+    series AS (SELECT 'aggregated' AS poly_id, date_time, CASE WHEN b <= 20 THEN {_smooth_sql("v")} ELSE v END + 1 AS v FROM adj WINDOW o AS (ORDER BY date_time))"""),
+       d="date_time", r="ml low high", covers="K4 K2 D32")
 def _(t):
     return epi.rt_overall(t.cases, t.delays)
 
@@ -46,34 +83,43 @@ def _(t):
     return epi.enough_cases(t.cases, 600.0)[1]
 
 
-SI = epi.serial_weights(6.48, 3.83)
-SI_SQL = "[" + ", ".join(f"{w!r}::DOUBLE" for w in SI) + "]"
+def _renewal_sql(pairs, prior: float) -> str:
+    """CTE ab(sim, poly_id, date_time, a, b). The weights are given; tests integrate the density for them."""
+    rows = ", ".join(f"({i}, [{', '.join(f'{w!r}::DOUBLE' for w in np.trim_zeros(epi.serial_weights(m, s, 4000), 'b').tolist())}])" for i, (m, s) in enumerate(pairs))
+    return f"""
+    sp AS (SELECT poly_id, min(date_time) AS d0 FROM dense_cases GROUP BY 1),
+    w AS (SELECT sim, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS lag FROM (VALUES {rows}) v(sim, w)),
+    lam AS (SELECT sim, poly_id, date_time + CAST(lag AS INTEGER) AS date_time, sum(num_cases * w) AS lam FROM dense_cases, w GROUP BY 1, 2, 3),
+    j AS (SELECT sim, poly_id, date_time, num_cases, lam, date_diff('day', d0, date_time) AS k FROM dense_cases JOIN lam USING (poly_id, date_time) JOIN sp USING (poly_id)),
+    ab AS (SELECT sim, poly_id, date_time, 1 + sum(num_cases) OVER g AS a, 1 / (1 / {prior!r}::DOUBLE + sum(lam) OVER g) AS b, k FROM j WINDOW g AS (PARTITION BY sim, poly_id ORDER BY date_time ROWS 6 PRECEDING)
+           QUALIFY k >= 7 AND k > (SELECT sum(lag * w) FROM w WHERE w.sim = j.sim))"""
 
 
-@query("renewal_rt", f"""
-    WITH s AS (SELECT unnest({SI_SQL}) AS w, generate_subscripts({SI_SQL}, 1) - 1 AS lag),
-         sp AS (SELECT poly_id, min(date_time) AS d0, max(date_time) AS d1 FROM dense_cases GROUP BY 1),
-         lam AS (SELECT poly_id, date_time + CAST(lag AS INTEGER) AS date_time, sum(num_cases * w) AS lam FROM dense_cases, s GROUP BY 1, 2),
-         j AS (SELECT poly_id, date_time, num_cases, lam, date_diff('day', d0, date_time) AS k FROM dense_cases JOIN lam USING (poly_id, date_time) JOIN sp USING (poly_id)),
-         ab AS (SELECT poly_id, date_time, k, 1 + sum(num_cases) OVER g AS a, 1 / (1 / 5e0 + sum(lam) OVER g) AS b FROM j WINDOW g AS (PARTITION BY poly_id ORDER BY date_time ROWS 6 PRECEDING))
-    SELECT poly_id, date_time, a, b, a * b AS mean_rt, sqrt(a) * b AS std_rt FROM ab WHERE k >= 7 AND k > {sum(i * w for i, w in enumerate(SI))!r}""", d="date_time", r="a b mean_rt std_rt", covers="K5 H9")
+@query("renewal_rt", f"WITH {_renewal_sql([(6.48, 3.83)], 5.0)} SELECT poly_id, date_time, a, b, a * b AS mean_rt, sqrt(a) * b AS std_rt FROM ab", d="date_time", r="a b mean_rt std_rt", covers="K5")
 def _(t):
-    return epi.renewal_posterior(dense(t), SI)
+    return epi.renewal_posterior(dense(t), 6.48, 3.83)
 
 
 @query("renewal_rt_bounds", covers="K5 H9")
 def _(t):
-    return epi.gamma_bounds(epi.renewal_posterior(dense(t), SI)).select("poly_id", "date_time", "mean_rt", "q025", "q5", "q975")
+    return epi.gamma_bounds(epi.renewal_posterior(dense(t), 6.48, 3.83)).select("poly_id", "date_time", "mean_rt", "q025", "q5", "q975")
+
+
+INTERVALS = epi.sample_serial_intervals((6.48, 1.0, 2.0, 10.96), (3.83, 0.5, 1.5, 6.16), 10, 11)
 
 
 @query("sampled_rt_summary", covers="K6 D31")
 def _(t):
-    pairs = epi.sample_serial_intervals((6.48, 1.0, 2.0, 10.96), (3.83, 0.5, 1.5, 6.16), 5, 11)
-    total = dense(t).groupBy("date_time").agg(F.sum("num_cases").alias("num_cases")).withColumn("poly_id", F.lit("aggregated"))
-    draws = epi.sampled_renewal(total, pairs, 20)
+    draws = epi.sampled_renewal(dense(t), INTERVALS, 20)
     return aggregates.sample_summary(draws, ["poly_id", "date_time"], "sample")
 
 
+@query("sampled_rt_moments", f"WITH {_renewal_sql(INTERVALS, 4.0)} SELECT poly_id, date_time, avg(a * b) AS mean_rt, avg(a * b * b + a * b * a * b) - avg(a * b) ** 2 AS var_rt FROM ab GROUP BY 1, 2", d="date_time", r="mean_rt var_rt", covers="K6")
+def _(t):
+    """Mean and variance over all serial intervals that were sampled."""
+    return epi.renewal_moments(dense(t), INTERVALS, mean_prior=4.0, std_prior=4.0)
+
+
 @query("threshold_inputs", f"""
     WITH {VEC}, sp AS (SELECT poly_id, greatest(a0, b0) AS a, least(a1, b1) AS b FROM (SELECT poly_id, min(date_time) AS a0, max(date_time) AS a1 FROM onset GROUP BY 1) JOIN (SELECT poly_id, min(date_time) AS b0, max(date_time) AS b1 FROM crange GROUP BY 1) USING (poly_id)),
          g AS (SELECT poly_id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date_time FROM sp),

@@ -55,6 +55,42 @@ def _(t):
     )
 
 
+def _tiles_by_weekday(t):
+    """A folder with a file of tiles per weekday; in Monday's, some rows have a letter for a number."""
+    path = _folder(t, "weekday_tiles")
+    cols = [c.strip().split(" ") for c in schema.MOVEMENT_TILES.split(",")]
+    src = t.tiles.withColumn("weekday", F.dayofweek("date_time"))
+    broken = (F.col("weekday") == 2) & (F.col("n_crisis") > 50)
+    src = src.withColumn("n_crisis", F.when(broken, F.lit("x")).otherwise(F.col("n_crisis").cast("string"))).withColumn("date_time", F.date_format("date_time", "yyyy-MM-dd HHmm"))
+    full = src.select(*[F.col(n) if n in src.columns else F.lit("1").alias(n) for n, _ in cols], "weekday")
+    full.repartition("weekday").write.mode("overwrite").option("header", True).partitionBy("weekday").csv(path)
+    return [f"{path}/weekday={k}" for k in range(1, 8)]
+
+
+@query("tiles_without_bad_files", """
+    SELECT dayofweek(date_time) + 1 AS weekday, count(*) AS n, sum(n_crisis) AS n_crisis FROM tiles WHERE dayofweek(date_time) <> 1 GROUP BY 1""", r="n_crisis", i="weekday", covers="A3")
+def _(t):
+    ok, _ = files.checked_tiles(t.spark, _tiles_by_weekday(t))
+    return ok.groupBy(F.dayofweek("date_time").alias("weekday")).agg(F.count("*").alias("n"), F.sum("n_crisis").alias("n_crisis"))
+
+
+@query("rejected_tile_files", """
+    SELECT 'rows' AS reason, 2 AS weekday, count(*) AS bad_rows FROM tiles WHERE dayofweek(date_time) = 1 AND n_crisis > 50""", i="weekday", covers="A3")
+def _(t):
+    _, rejected = files.checked_tiles(t.spark, _tiles_by_weekday(t))
+    return rejected.select("reason", F.regexp_extract("file", "weekday=([0-9])", 1).cast("int").alias("weekday"), "bad_rows")
+
+
+@query("mixed_encodings_read_back", "SELECT lang || 'é' AS lang, count(*) AS n FROM documents GROUP BY 1", covers="A8")
+def _(t):
+    """One folder with a file in latin-1 and one in UTF-8, no encoding given."""
+    path = _folder(t, "mixed")
+    named = t.raw("documents").select("doc_id", F.concat("lang", F.lit("é")).alias("lang"))
+    for k, encoding in enumerate(("ISO-8859-1", "UTF-8")):
+        named.filter(F.col("doc_id") % 2 == k).write.mode("overwrite").option("header", True).option("encoding", encoding).csv(f"{path}/{k}")
+    return files.decoded_csv(t.spark, [f"{path}/0", f"{path}/1"], "doc_id BIGINT, lang STRING").groupBy("lang").agg(F.count("*").alias("n"))
+
+
 @query("population_tiles", """
     SELECT CAST(ts AS DATE) AS ds, round(lat, 2) AS lat, round(lon, 2) AS lon, count(DISTINCT user_id) AS n FROM points GROUP BY 1, 2, 3""", d="ds", r="lat lon", covers="A5")
 def _(t):
@@ -109,7 +145,7 @@ def _(t):
 @query("table_freshness", """
     SELECT 'cases' AS table_name, min(date_time) AS first_date, max(date_time) AS last_date FROM cases
     UNION ALL SELECT 'movement', min(date_time), max(date_time) FROM movement
-    UNION ALL SELECT 'tiles', CAST(min(date_time) AS DATE), CAST(max(date_time) AS DATE) FROM tiles""", d="first_date last_date", covers="A14 N12")
+    UNION ALL SELECT 'tiles', CAST(min(date_time) AS DATE), CAST(max(date_time) AS DATE) FROM tiles""", d="first_date last_date", covers="A14")
 def _(t):
     return files.freshness({"cases": (t.cases, "date_time"), "movement": (t.movement, "date_time"), "tiles": (t.tiles, "date_time")})
 

@@ -253,8 +253,30 @@ def _(t):
     return spatial.meeting_pairs(spatial.with_rings(pierced(t)), boxes, "poly_id", "user_id", 0.25)
 
 
-@query("merged_geometry_read_back", "SELECT community_id, count(*) AS parts, sum((e - w) * (n - s)) AS surface FROM squares JOIN community_map USING (poly_id) GROUP BY 1", r="surface", i="parts", covers="D11 A10 I4")
+@query("merged_geometry_read_back", """
+    WITH RECURSIVE m AS (SELECT * FROM squares JOIN community_map USING (poly_id)),
+    l AS (SELECT a.community_id, a.poly_id AS p, b.poly_id AS q FROM m a JOIN m b ON a.community_id = b.community_id AND abs(a.poly_lon - b.poly_lon) + abs(a.poly_lat - b.poly_lat) <= 0.5),
+    r AS (SELECT * FROM l UNION SELECT r.community_id, r.p, l.q FROM r JOIN l ON l.p = r.q),
+    parts AS (SELECT community_id, count(DISTINCT root) AS parts FROM (SELECT community_id, p, min(q) AS root FROM r GROUP BY 1, 2) GROUP BY 1)
+    SELECT community_id, parts, sum((e - w) * (n - s)) AS surface FROM m JOIN parts USING (community_id) GROUP BY 1, 2""", r="surface", i="parts", covers="D11 A10 I4")
 def _(t):
     df = t.polygons.join(t.community_map.select("poly_id", "community_id"), "poly_id")
     merged = rules.agglomerate(df, [rules.Rule("geometry", "merge_geometry")], ["community_id"], ["geometry"])
     return spatial.with_rings(merged).select("community_id", F.size("rings").alias("parts"), geo.area(F.col("rings")).alias("surface"))
+
+
+@query("union_of_overlapping_areas", """
+    WITH c AS (SELECT DISTINCT community_id, CAST((poly_lon - 0.375) * 8 AS BIGINT) + i AS x, CAST((poly_lat - 0.375) * 8 AS BIGINT) + j AS y
+               FROM polygons JOIN (SELECT poly_id, community_id FROM community_map) USING (poly_id), range(6) a(i), range(6) b(j)),
+    side AS (SELECT c.community_id, count(*) AS sides FROM c, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) v(dx, dy)
+             WHERE NOT EXISTS (SELECT 1 FROM c o WHERE o.community_id = c.community_id AND o.x = c.x + dx AND o.y = c.y + dy) GROUP BY 1)
+    SELECT community_id, count(*) / 64e0 AS surface, any_value(sides) / 8e0 AS border FROM c JOIN side USING (community_id) GROUP BY 1""", r="surface border", covers="D11 J3")
+def _(t):
+    """Squares half as large again as their grid, so that neighbours overlap."""
+    from wayflux.operators.dissolve import dissolve
+    from wayflux.sources.testdata import square_wkt
+
+    wide = t.polygons.select("poly_id", square_wkt(F.col("poly_lon"), F.col("poly_lat"), 0.375).alias("geometry")).join(t.community_map.select("poly_id", "community_id"), "poly_id")
+    merged = spatial.with_rings(dissolve(wide, ["community_id"], size=0.5))
+    length = F.aggregate(geo.edges_of(F.col("rings")), F.lit(0.0), lambda acc, e: acc + F.abs(e["x2"] - e["x1"]) + F.abs(e["y2"] - e["y1"]))
+    return merged.select("community_id", geo.area(F.col("rings")).alias("surface"), length.alias("border"))

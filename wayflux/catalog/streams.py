@@ -25,8 +25,11 @@ def _flow_source(t):
     return path, src
 
 
+FILES = 4  # of a turn, and of a batch
+
+
 def _in_turns(df, day, path, falling=False, turns=4):
-    """Write the rows as one file per stretch of days, one after the other, so that a stream takes them in that order."""
+    """Write the rows of one stretch of days after the other, FILES files each, so that a stream takes them in that order."""
     ends = df.agg(F.min(day.cast("date")).alias("a"), F.max(day.cast("date")).alias("b")).first()
     if ends["a"] is None:
         df.write.parquet(path)
@@ -34,7 +37,7 @@ def _in_turns(df, day, path, falling=False, turns=4):
     span = (ends["b"] - ends["a"]).days + 1
     turn = F.floor(F.datediff(day.cast("date"), F.lit(ends["a"])) * turns / span)
     for k in reversed(range(turns)) if falling else range(turns):
-        df.filter(turn == k).coalesce(1).write.mode("append").parquet(path)
+        df.filter(turn == k).repartition(FILES).write.mode("append").parquet(path)
 
 
 @query("streamed_tiles", "SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S') AS date_time, count(*) AS n, sum(start_movement_lon) AS lon FROM tiles GROUP BY 1", r="lon", covers="L1")
@@ -47,6 +50,22 @@ def _(t):
 
 
 @query("streamed_daily_flows", """
+    SELECT CAST(date_trunc('hour', ts) + INTERVAL 12 HOUR AS DATE) AS date_time, CAST(event_id % 25 AS VARCHAR) AS start_poly_id, CAST(user_id % 25 AS VARCHAR) AS end_poly_id, sum(value) AS movement FROM events GROUP BY 1, 2, 3""", d="date_time", r="movement", covers="L2 L3")
+def _(t):
+    """Update mode: every day is stored with the batches that change it, the last days too."""
+    src = _flow_source(t)[1]
+    path, sink = _fresh(t, "flow_turns"), _fresh(t, "flow_sink")
+    _in_turns(src, F.col("date_time"), path)
+    totals = jobs.daily_flow_totals(jobs.stream_tiles(t.spark, path, src.schema, "parquet", FILES))
+    q = (
+        totals.writeStream.foreachBatch(jobs.upsert_days(sink + "/out", "date_time")).outputMode("update")
+        .option("checkpointLocation", sink + "/state").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return jobs.read_latest(t.spark, sink + "/out", ["date_time", "start_poly_id", "end_poly_id"], ["movement"])
+
+
+@query("streamed_passed_days", """
     WITH d AS (SELECT CAST(date_trunc('hour', ts) + INTERVAL 12 HOUR AS DATE) AS date_time, CAST(event_id % 25 AS VARCHAR) AS start_poly_id, CAST(user_id % 25 AS VARCHAR) AS end_poly_id, sum(value) AS movement FROM events GROUP BY 1, 2, 3)
     SELECT * FROM d WHERE date_time + INTERVAL 12 HOUR <= (SELECT max(date_trunc('hour', ts)) - INTERVAL 2 DAY FROM events)""", d="date_time", r="movement", covers="L2")
 def _(t):
@@ -65,11 +84,11 @@ def _(t):
 
 @query("streamed_without_repeats", "SELECT event_id, value AS movement FROM events", r="movement", covers="L4")
 def _(t):
-    """Every tile arrives twice; a file per batch, in the order of days, so that the watermark moves on."""
+    """Every tile arrives twice; a stretch of days per batch, in order, so that the watermark moves on."""
     src = _flow_source(t)[1]
     path, sink = _fresh(t, "twice_files"), _fresh(t, "once_sink")
     _in_turns(src.union(src), F.col("date_time"), path)
-    stream = jobs.without_repeats(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 1), ["event_id"])
+    stream = jobs.without_repeats(jobs.stream_tiles(t.spark, path, src.schema, "parquet", FILES), ["event_id"])
     jobs.run_available(stream, sink + "/out", sink + "/state")
     return t.spark.read.parquet(sink + "/out").select("event_id", "movement")
 
@@ -81,9 +100,9 @@ def _(t):
     part = F.pmod(F.col("event_id"), F.lit(3))
     daily = t.raw("events").groupBy(F.col("ts").cast("date").alias("date"), "event_type", part.alias("part")).agg(F.count("*").alias("n"))
     for k in range(3):
-        daily.filter(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(path)
+        daily.filter(F.col("part") == k).drop("part").repartition(FILES).write.mode("append").parquet(path)
     q = (
-        jobs.stream_tiles(t.spark, path, daily.drop("part").schema, "parquet", 1).writeStream.foreachBatch(jobs.upsert_days(sink + "/out"))
+        jobs.stream_tiles(t.spark, path, daily.drop("part").schema, "parquet", FILES).writeStream.foreachBatch(jobs.upsert_days(sink + "/out"))
         .option("checkpointLocation", sink + "/state").trigger(availableNow=True).start()
     )
     q.awaitTermination()
@@ -100,7 +119,7 @@ def _(t):
     prev = t.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        stream = jobs.first_case_alerts(jobs.stream_tiles(t.spark, path, src.schema, "parquet", 1))
+        stream = jobs.first_case_alerts(jobs.stream_tiles(t.spark, path, src.schema, "parquet", FILES))
         write = lambda batch, epoch: batch.write.mode("append").parquet(sink + "/out")
         q = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", sink + "/state").trigger(availableNow=True).start()
         q.awaitTermination()

@@ -147,3 +147,26 @@ def _(t):
     y = F.year("date_time")
     w = t.cases.groupBy("poly_id").agg(F.sum(F.when(y == 1996, F.col("num_cases")).otherwise(0.0)).alias("a"), F.sum(F.when(y == 1997, F.col("num_cases")).otherwise(0.0)).alias("b"))
     return windows.window_deltas(w, {"delta": ("a", "b")}).select("poly_id", "delta")
+
+
+@query("lines_ranked", """
+    SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey * 8 + l_linenumber) AS rank FROM lineitem""", i="rank l_linenumber", covers="E15 E11")
+def _(t):
+    """Three groups, each of them dealt to ranges."""
+    lines = t.raw("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("tie"))
+    return ranking.distributed_rank(lines, ["l_returnflag"], "l_extendedprice", "tie", rows_per_task=10_000).select("l_orderkey", "l_linenumber", "l_returnflag", "rank")
+
+
+@query("price_percentiles", """
+    SELECT l_returnflag, quantile_cont(l_extendedprice, 0.05) AS low, quantile_cont(l_extendedprice, 0.5) AS middle, quantile_cont(l_extendedprice, 0.95) AS high FROM lineitem GROUP BY 1""", r="low middle high", covers="B19 D40")
+def _(t):
+    q = ranking.exact_percentiles(t.raw("lineitem"), ["l_returnflag"], "l_extendedprice", [0.05, 0.5, 0.95], rows_per_task=5_000)
+    return q.select("l_returnflag", *(F.col("q")[i].alias(name) for i, name in enumerate(("low", "middle", "high"))))
+
+
+@query("customers_to_coverage", """
+    WITH o AS (SELECT o_custkey, sum(o_totalprice) AS spent FROM orders GROUP BY 1), c AS (SELECT *, sum(spent) OVER (ORDER BY spent DESC, o_custkey) / sum(spent) OVER () AS coverage FROM o)
+    SELECT o_custkey, coverage FROM (SELECT *, coalesce(lag(coverage) OVER (ORDER BY spent DESC, o_custkey), 0) AS b FROM c) WHERE b <= 0.8""", r="coverage", covers="E10")
+def _(t):
+    spent = t.raw("orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spent"))
+    return windows.coverage(spent, "spent", "o_custkey", 0.8).select("o_custkey", "coverage")

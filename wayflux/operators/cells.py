@@ -36,16 +36,16 @@ def meet(left: DataFrame, right: DataFrame, size: float, refine_left: Refine, re
     shares several cells comes once for each. The column `side` is that of the cell. What is too full in the end (equal places) is dealt by salt.
     """
     found, level, on = None, 0, [*(within_keys or []), *CELL]
-    left, right = cut_lineage(left), cut_lineage(right)
     wl, wr = weights or (F.lit(0), F.lit(0))
     while True:
         nl = left.groupBy(*on).agg(F.count("*").alias("nl"), F.max(wl).alias("wl"))
         nr = right.groupBy(*on).agg(F.count("*").alias("nr"), F.max(wr).alias("wr"))
-        full = None if level == LEVELS else cut_lineage(nl.join(nr, on).filter(heavy).select(*on))
-        if full is None or full.isEmpty():
-            last = salted_join(left, right, on, rows_per_task=ROWS_PER_CELL) if full is None else left.join(right, on)
+        full = nl.join(nr, on).filter(heavy).select(*on)
+        if level == LEVELS or full.isEmpty():
+            last = salted_join(left, right, on, rows_per_task=ROWS_PER_CELL) if level == LEVELS else left.join(right, on)
             last = last.withColumn("side", F.lit(size))
             return last if found is None else found.unionByName(last)
+        full = cut_lineage(full)
         done = left.join(full, on, "left_anti").join(right, on).withColumn("side", F.lit(size))
         found = done if found is None else found.unionByName(done)
         size, level = size / FAN, level + 1

@@ -6,6 +6,7 @@ Daily rows per area are made in Spark; Arrow functions see one area's days at a
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -144,48 +145,75 @@ def rt_overall(cases: DataFrame, delays: DataFrame, cut_days: int = 10, least: f
     return estimate_rt(late.withColumn("v", F.when(last_rows, F.col("smoothed_v")).otherwise(F.col("v")) + 1), "v")
 
 
-def serial_weights(mean: float, std: float, tail: float = 1e-12, longest: int = 400) -> list[float]:
-    """Discretised shifted gamma of the serial interval, index = days, cut where the rest is negligible."""
+def serial_weights(mean: float, std: float, days: int) -> np.ndarray:
+    """Discretised shifted gamma of the serial interval for lags 0 to days - 1."""
     a, b = ((mean - 1) / std) ** 2, std**2 / (mean - 1)
-    k = np.arange(0, longest, dtype=float)
+    k = np.arange(days, dtype=float)
     # second difference of the integrated distribution function
     area = k * special.gamma_cdf(k, a, b) - a * b * special.gamma_cdf(k, a + 1, b)
     prev = np.concatenate([[0.0], area[:-1]])
-    prev2 = np.concatenate([[0.0, 0.0], area[:-2]])
-    w = np.maximum(area - 2 * prev + prev2, 0.0)
-    keep = int(np.searchsorted(np.cumsum(w), 1 - tail)) + 1
-    return [float(x) for x in w[:keep]]
+    prev2 = np.concatenate([[0.0, 0.0], area[:-2]])[:days]
+    gone = 1 - special.gamma_cdf(np.maximum(k - 2, 0), a, b) < 1e-14  # only rounding is left there
+    return np.where(gone, 0.0, np.maximum(area - 2 * prev + prev2, 0.0))
+
+
+def convolved(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sum over lags of weight times the value that many days before, for every day."""
+    n = 1 << max(0, (2 * len(x) - 1).bit_length())
+    if len(x) < 256:
+        return np.convolve(x, w)[: len(x)]
+    return np.fft.irfft(np.fft.rfft(x, n) * np.fft.rfft(w, n), n)[: len(x)]
+
+
+def renewal(cases: DataFrame, pairs: list[tuple[float, float]], schema: str, days: Callable[..., pd.DataFrame], win_start: int = 1, win_end: int = 7, mean_prior: float = 5.0, std_prior: float = 5.0) -> DataFrame:
+    """`days(poly_id, sim, dates, a, b)` of every area and serial interval (mean, deviation) in `pairs`.
+
+    cases(poly_id, date_time, num_cases) with one row per day. An area's days are one ordered array, which the calendar
+    bounds; weights run to its length, and infectivity is one convolution per area and interval. Those are dealt
+    to tasks one by one. a and b are the shape and scale of the gamma posterior of the reproductive number over the days
+    of each window.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("date_time", F.col("num_cases").cast("double").alias("num_cases"))))
+    series = cases.groupBy("poly_id").agg(ordered.alias("s"))
+    each = series.select("poly_id", F.col("s.date_time").alias("dates"), F.col("s.num_cases").alias("counts"), F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("sim"))
+    a0, b0, width = (mean_prior / std_prior) ** 2, std_prior**2 / mean_prior, win_end - win_start + 1
+
+    def windowed(x: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0.0], np.cumsum(x)])
+        at = np.arange(1, len(x) + 1)
+        return total[at] - total[np.maximum(at - width, 0)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for poly, dates, counts, sim in zip(pdf["poly_id"], pdf["dates"], pdf["counts"], pdf["sim"], strict=True):
+                n = np.asarray(counts, float)
+                w = serial_weights(*pairs[sim], len(n))
+                end = (pd.to_datetime(pd.Series(dates)) - pd.Timestamp(dates[0])).dt.days.to_numpy()
+                kept = (end >= win_end) & (end > (np.arange(len(w)) * w).sum())
+                a, b = a0 + windowed(n), 1 / (1 / b0 + windowed(convolved(n, w)))
+                if kept.any():
+                    yield days(poly, int(sim), np.asarray(dates)[kept], a[kept], b[kept])
+
+    return each.repartition("poly_id", "sim").mapInPandas(run, schema)
 
 
 def renewal_posterior(
-    cases: DataFrame, weights: list[float], win_start: int = 1, win_end: int = 7, mean_prior: float = 5.0, std_prior: float = 5.0
+    cases: DataFrame, mean: float, std: float, win_start: int = 1, win_end: int = 7, mean_prior: float = 5.0, std_prior: float = 5.0
 ) -> DataFrame:
-    """Gamma posterior of the reproductive number over sliding windows: a, b, mean and deviation.
+    """Gamma posterior of the reproductive number over sliding windows: a, b, mean and deviation."""
+    def days(poly, sim, dates, a, b):
+        return pd.DataFrame({"poly_id": poly, "date_time": dates, "a": a, "b": b, "mean_rt": a * b, "std_rt": np.sqrt(a) * b})
 
-    cases(poly_id, date_time, num_cases) with one row per day. Infectivity is a lag sum that
-    is exploded and summed in one grouping together with the counts themselves.
-    """
-    terms = F.array(*[F.struct(F.lit(i).alias("lag"), F.lit(w).alias("w")) for i, w in enumerate(weights)])
-    span = cases.groupBy("poly_id").agg(F.min("date_time").alias("d0"), F.max("date_time").alias("d1"))
-    shifted = cases.select("poly_id", "date_time", "num_cases", F.explode(terms).alias("t")).select(
-        "poly_id", F.date_add("date_time", F.col("t.lag")).alias("date_time"),
-        F.when(F.col("t.lag") == 0, F.col("num_cases")).otherwise(0.0).alias("n"),
-        (F.col("num_cases") * F.col("t.w")).alias("lam"),
-    )
-    daily = (
-        shifted.groupBy("poly_id", "date_time").agg(F.sum("n").alias("n"), F.sum("lam").alias("lam"))
-        .join(span, "poly_id").filter(F.col("date_time").between(F.col("d0"), F.col("d1")))
-    )
-    width = win_end - win_start + 1
-    w = W.partitionBy("poly_id").orderBy("date_time").rowsBetween(-(width - 1), 0)
-    a0, b0 = (mean_prior / std_prior) ** 2, std_prior**2 / mean_prior
-    mean_si = sum(i * x for i, x in enumerate(weights))
-    end = F.datediff("date_time", "d0")
-    return (
-        daily.withColumn("a", a0 + F.sum("n").over(w)).withColumn("b", 1 / (1 / b0 + F.sum("lam").over(w)))
-        .filter((end >= win_end) & (end > mean_si))
-        .select("poly_id", "date_time", "a", "b", (F.col("a") * F.col("b")).alias("mean_rt"), (F.sqrt("a") * F.col("b")).alias("std_rt"))
-    )
+    return renewal(cases, [(mean, std)], "poly_id string, date_time date, a double, b double, mean_rt double, std_rt double", days, win_start, win_end, mean_prior, std_prior)
+
+
+def renewal_moments(cases: DataFrame, pairs: list[tuple[float, float]], **settings) -> DataFrame:
+    """Mean and variance of the reproductive number over the posteriors of all serial intervals."""
+    def days(poly, sim, dates, a, b):
+        return pd.DataFrame({"poly_id": poly, "date_time": dates, "m": a * b, "v": a * b * b})
+
+    each = renewal(cases, pairs, "poly_id string, date_time date, m double, v double", days, **settings)
+    return each.groupBy("poly_id", "date_time").agg(F.avg("m").alias("mean_rt"), (F.avg(F.col("v") + F.col("m") * F.col("m")) - F.avg("m") * F.avg("m")).alias("var_rt"))
 
 
 def gamma_bounds(df: DataFrame, probs: tuple[float, ...] = (0.025, 0.5, 0.975)) -> DataFrame:
@@ -217,67 +245,135 @@ def sampled_renewal(
     cases: DataFrame, pairs: list[tuple[float, float]], draws: int = 20, seed: int = 7, win_start: int = 1, win_end: int = 7,
     mean_prior: float = 4.0, std_prior: float = 4.0,
 ) -> DataFrame:
-    """Posterior draws over all sampled serial intervals: (poly_id, date_time, sample)."""
-    frames = [
-        renewal_posterior(cases, serial_weights(m, s), win_start, win_end, mean_prior, std_prior).withColumn("sim", F.lit(i))
-        for i, (m, s) in enumerate(pairs)
-    ]
-    post = frames[0]
-    for f in frames[1:]:
-        post = post.unionByName(f)
+    """Posterior draws over all sampled serial intervals: (poly_id, date_time, sample).
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def sample(a: pd.Series, b: pd.Series, h: pd.Series) -> pd.Series:
-        return pd.Series(
-            [np.random.default_rng([seed, int(k) & 0x7FFFFFFFFFFFFFFF]).gamma(x, y, draws) for x, y, k in zip(a, b, h)]
-        )
+    Draws are seeded by the area and the interval, so they are the same however the work is dealt out.
+    """
+    def days(poly, sim, dates, a, b):
+        rng = np.random.default_rng([seed, sim, *str(poly).encode()])
+        return pd.DataFrame({"poly_id": poly, "date_time": np.repeat(dates, draws), "sample": rng.gamma(a[:, None], b[:, None], (len(a), draws)).ravel()})
 
-    key = F.xxhash64("poly_id", "date_time", "sim")
-    return post.select("poly_id", "date_time", F.explode(sample("a", "b", key)).alias("sample"))
+    return renewal(cases, pairs, "poly_id string, date_time date, sample double", days, win_start, win_end, mean_prior, std_prior)
 
 
 THRESHOLD_SCHEMA = "poly_id string, r0 double, beta double, mob_th double"
 
 
-def fit_threshold(mob: np.ndarray, onset: np.ndarray) -> tuple[float, float]:
-    """Posterior means of (beta, R0): a grid over both with the serial interval integrated out.
+def _interval_mass(a: np.ndarray, k: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Log likelihood of each row of growth numerators a, the serial interval (Gamma(6, rate 1.5)) integrated out.
 
-    beta ~ U(-100, 100), R0 ~ U(2, 5), serial interval ~ Gamma(6, rate 1.5). The first grid is
-    coarse; the second covers the region that holds the mass.
+    Over w, the log of the rate 1 / interval: Newton steps to the mode, then the trapezoid rule over eight deviations
+    on both sides, from the curvature there.
     """
-    si_edges = np.linspace(0.05, 14.0, 25)
-    si = (si_edges[1:] + si_edges[:-1]) / 2
-    si_w = special.gamma_pdf(si, 6.0, 1 / 1.5)
-    si_logw = np.log(si_w / si_w.sum())
-    k, base, m = np.round(onset[1:]), onset[:-1], mob[:-1]
+    slope = (k * a).sum(axis=1)
 
-    def log_post(beta: np.ndarray, r0: np.ndarray) -> np.ndarray:
-        out = np.empty((len(beta), len(r0)))
+    def value(w):
         with np.errstate(over="ignore", invalid="ignore"):
-            for i, bt in enumerate(beta):
-                decay = np.exp(-bt * (1 + m))
-                for j, r in enumerate(r0):
-                    growth = (r * decay - 1)[None, :] / si[:, None]
-                    lam_log = np.log(base)[None, :] + growth
-                    ll = (k[None, :] * lam_log - np.exp(lam_log)).sum(axis=1)
-                    ll = np.where(np.isfinite(ll), ll, -np.inf) + si_logw
-                    top = ll.max()
-                    out[i, j] = top + math.log(np.exp(ll - top).sum()) if np.isfinite(top) else -np.inf
-        return out
-
-    beta, r0 = np.linspace(-100, 100, 81), np.linspace(2, 5, 7)
-    for _ in range(4):  # zoom until the mass spreads over the grid
-        lp = log_post(beta, r0)
-        w = np.exp(lp - lp.max())
-        rows = np.flatnonzero(w.sum(axis=1) > w.sum() * 1e-6)
-        if len(rows) > len(beta) // 2:
+            out = np.exp(w) * slope - (base * np.exp(a * np.exp(w)[:, None])).sum(axis=1) - 6 * w - 1.5 * np.exp(-w)
+        return np.where(np.isfinite(out), out, -np.inf)
+
+    w = np.log(np.minimum(0.25, 50 / np.maximum(a.max(axis=1), 1e-9)))  # where nothing overflows
+    best = value(w)
+    for _ in range(60):
+        v = np.exp(w)
+        e = base * np.exp(a * v[:, None])
+        pull = v * (slope - (a * e).sum(axis=1))
+        g, h = pull - 6 + 1.5 * np.exp(-w), pull - v * v * (a * a * e).sum(axis=1) - 1.5 * np.exp(-w)
+        step = np.clip(np.where(h < 0, -g / np.where(h < 0, h, -1.0), np.sign(g) * 0.5), -1.0, 1.0)
+        width = 1 / np.sqrt(np.maximum(-h, 1e-12))
+        if (np.abs(step) < 1e-3 * width).all():
             break
-        lo, hi = beta[max(rows[0] - 1, 0)], beta[min(rows[-1] + 1, len(beta) - 1)]
-        beta, r0 = np.linspace(lo, hi, 41), np.linspace(2, 5, 13)
-    lp = log_post(beta, r0)
-    w = np.exp(lp - lp.max())
-    w /= w.sum()
-    return float((w.sum(axis=1) * beta).sum()), float((w.sum(axis=0) * r0).sum())
+        for _ in range(12):  # halve what does not rise
+            now = value(w + step)
+            worse = now < best
+            if not worse.any():
+                break
+            step = np.where(worse, step / 2, step)
+        w, best = np.where(now >= best, w + step, w), np.maximum(now, best)
+    z = np.linspace(-7, 7, 25)
+    lp = np.stack([value(w + width * x) for x in z], axis=1) - best[:, None]
+    return best + np.log(np.exp(lp).sum(axis=1) * (z[1] - z[0]) * width)
+
+
+def _resolved(f: Callable[[np.ndarray], np.ndarray], low: float, high: float, nodes: int) -> tuple[float, float, float]:
+    """The part of [low, high] that holds the mass of exp(f), e^-40 of its top left out, and the top."""
+    while True:
+        x = np.linspace(low, high, nodes)
+        y = f(x)
+        held = np.flatnonzero(y > y.max() - 40)
+        a, b = x[max(held[0] - 1, 0)], x[min(held[-1] + 1, nodes - 1)]
+        if b - a > 0.6 * (high - low) or high - low < 1e-12:
+            return float(a), float(b), float(y.max())
+        low, high = float(a), float(b)
+
+
+def _panels(f: Callable[[np.ndarray], np.ndarray], low: float, high: float, tolerance: float, start: int) -> np.ndarray:
+    """Integral of the vector function f (rows: points), halving panels of Gauss-Legendre nodes until halves agree."""
+    x, w = np.polynomial.legendre.leggauss(8)
+
+    def panel(a, b):
+        return (f((a + b) / 2 + (b - a) / 2 * x) * w[:, None]).sum(axis=0) * (b - a) / 2
+
+    edges = np.linspace(low, high, start + 1)
+    todo = [(a, b, panel(a, b)) for a, b in zip(edges, edges[1:])]
+    scale, done = sum(abs(p[2][0]) for p in todo), 0.0
+    while todo:
+        a, b, whole = todo.pop()
+        middle = (a + b) / 2
+        left, right = panel(a, middle), panel(middle, b)
+        scale = max(scale, abs(left[0] + right[0]))
+        if np.abs(left[:1] + right[:1] - whole[:1]).max() <= tolerance * scale or b - a < 1e-9:
+            done = done + left + right
+        else:
+            todo += [(a, middle, left), (middle, b, right)]
+    return done
+
+
+def fit_threshold(mob: np.ndarray, onset: np.ndarray) -> tuple[float, float]:
+    """Posterior means of (beta, R0), the serial interval integrated out.
+
+    beta ~ U(-100, 100), R0 ~ U(2, 5), serial interval ~ Gamma(6, rate 1.5). Nested integrals, each scaled to where its
+    mass lies: over the interval by Newton and curvature, over R0 (through r = ln R0 - beta (1 + mean mobility), which the
+    data fix nearly on its own) and over beta by panels that are halved until they agree. So the result is as
+    exact for ten thousand cases a day as for one.
+    """
+    k, base, m = np.round(onset[1:]), onset[:-1], mob[:-1]
+    centre = m.mean()
+
+    def held(beta: float) -> tuple[Callable[[np.ndarray], np.ndarray], float, tuple[float, float, float]]:
+        """Log mass over r at one beta, the shift from r to ln R0, and where the mass lies."""
+        shift = beta * (1 + centre)
+
+        def mass(r):
+            with np.errstate(over="ignore"):
+                a = np.exp(r[:, None] - beta * (m - centre)[None, :]) - 1
+            return _interval_mass(np.minimum(a, 1e6), k, base) + r + shift
+
+        return mass, shift, _resolved(mass, math.log(2) - shift, math.log(5) - shift, 17)
+
+    def given_beta(beta: float) -> tuple[float, float]:
+        """Log mass and mean R0 at one beta."""
+        mass, shift, (low, high, best) = held(beta)
+
+        x, w = np.polynomial.legendre.leggauss(16)  # the mass spans some nine deviations of either half
+        quarter = (high - low) / 4
+        r = np.concatenate([low + quarter * (1 + x), low + quarter * (3 + x)])
+        p = np.exp(mass(r) - best) * np.concatenate([w, w])
+        return best + math.log(p.sum() * quarter), float((p * np.exp(r + shift)).sum() / p.sum())
+
+    def profile(x):
+        found = [held(b)[2] for b in x]
+        return np.array([best + math.log(max(high - low, 1e-300)) for low, high, best in found])
+
+    low, high, top = _resolved(profile, -100.0, 100.0, 41)
+
+    def density(x):
+        found = [given_beta(b) for b in x]
+        p = np.exp(np.array([f[0] for f in found]) - top)
+        return np.stack([p, p * x, p * np.array([f[1] for f in found])], axis=1)
+
+    total = _panels(density, low, high, 1e-6, 4)
+    return float(total[1] / total[0]), float(total[2] / total[0])
 
 
 def threshold_inputs(cases: DataFrame, ranges: DataFrame, delays: DataFrame, least: float = 100.0) -> DataFrame:

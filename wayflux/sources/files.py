@@ -36,28 +36,62 @@ def with_endpoints(tiles: DataFrame) -> DataFrame:
     })
 
 
-def ingest_tiles(spark: SparkSession, path: str | list[str], max_date: str | None = None, drop_null: bool = False) -> DataFrame:
-    """Tile files whose header has exactly the contract's columns, with end points, before `max_date`.
+def decoded_lines(spark: SparkSession, path: str | list[str], fallback: str = "ISO-8859-1") -> DataFrame:
+    """(file, value): the lines of text files, each file read as UTF-8 if all of it is, else in the fallback encoding.
+
+    The text source hands on a line's bytes as they are, so files are decoded in pieces, however long they are.
+    """
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("raw"))
+    plain = raw.groupBy("file").agg(F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))).alias("plain"))
+    value = F.when(F.col("plain"), F.decode("raw", "UTF-8")).otherwise(F.decode("raw", fallback))
+    return raw.join(plain, "file").select("file", value.alias("value"))
+
+
+def decoded_csv(spark: SparkSession, path: str | list[str], ddl: str, fallback: str = "ISO-8859-1") -> DataFrame:
+    """Typed scan of CSV files with a header line each, whose encodings may differ from file to file."""
+    return parse_lines(decoded_lines(spark, path, fallback).select("value"), ddl)
+
+
+def checked_tiles(spark: SparkSession, path: str | list[str], max_date: str | None = None, drop_null: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of the good tile files, with end points, before `max_date`; and the files rejected: file, reason, bad_rows.
 
-    Files are read as text: the header line of each file (kept per file name) decides whether
-    its rows count, and how its columns are ordered does not matter.
+    A file is rejected as a whole if its header has not exactly the contract's columns (in any order), or if any row
+    has another number of fields, a value that is not of its column's type, or no readable time.
     """
     cols = [c.strip().split(" ")[0] for c in schema.MOVEMENT_TILES.split(",")]
-    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    types = dict(c.strip().split(" ") for c in schema.MOVEMENT_TILES.split(","))
+    text = decoded_lines(spark, path).filter(F.trim("value") != "")
     is_header = F.col("value").contains("start_polygon_id") & F.col("value").contains("geometry")
-    heads = text.filter(is_header).groupBy("file").agg(F.max("value").alias("head"))
-    good = heads.filter(F.array_sort(F.split("head", ",")) == F.array(*[F.lit(c) for c in sorted(cols)]))
-    body = text.filter(~is_header).join(good, "file")
-    cells = F.from_csv(F.concat(F.lit(""), F.col("value")), ", ".join(f"c{i} STRING" for i in range(len(cols))))
+    heads = text.groupBy("file").agg(F.max(F.when(is_header, F.col("value"))).alias("head"), F.count("*").alias("lines"))
+    fits = F.coalesce(F.array_sort(F.split("head", ",")) == F.array(*[F.lit(c) for c in sorted(cols)]), F.lit(False))
+    good = heads.filter(fits).select("file", "head")
+
+    ddl = ", ".join(f"c{i} STRING" for i in range(len(cols))) + ", _torn STRING"  # _torn: a row with fields too many or too few
+    cells = F.from_csv("value", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_torn"})
     fields = F.array(*[F.col(f"r.c{i}") for i in range(len(cols))])
     named = F.map_from_arrays(F.split("head", ","), fields)
-    types = dict(c.strip().split(" ") for c in schema.MOVEMENT_TILES.split(","))
-    rows = body.select(cells.alias("r"), "head").select(named.alias("m")).select(*[F.expr(f"try_cast(m['{c}'] AS {types[c]})").alias(c) for c in cols])
-    rows = rows.withColumn("date_time", F.try_to_timestamp("date_time", F.lit("yyyy-MM-dd HHmm")).cast("timestamp_ntz")).filter("date_time is not null")
-    rows = rows.na.drop() if drop_null else rows
+    split = text.filter(~is_header).join(good, "file").select("file", cells.alias("r"), "head").withColumn("m", named)
+
+    def cast(c):
+        return F.try_to_timestamp(F.col("m")[c], F.lit("yyyy-MM-dd HHmm")).cast("timestamp_ntz") if c == "date_time" else F.expr(f"try_cast(m['{c}'] AS {types[c]})")
+
+    bad = F.col("r._torn").isNotNull() | cast("date_time").isNull()
+    for c in cols:
+        bad = bad | (cast(c).isNull() & (F.coalesce(F.trim(F.col("m")[c]), F.lit("")) != ""))
+    rows = split.select("file", bad.alias("bad"), *(cast(c).alias(c) for c in cols))
+    wrong = rows.groupBy("file").agg(F.sum(F.col("bad").cast("long")).alias("bad_rows")).filter("bad_rows > 0")
+    rejected = heads.filter(~fits).select("file", F.lit("columns").alias("reason"), (F.col("lines") - F.col("head").isNotNull().cast("int")).alias("bad_rows"))
+    rejected = rejected.unionByName(wrong.select("file", F.lit("rows").alias("reason"), "bad_rows"))
+    kept = rows.join(wrong.select("file"), "file", "left_anti").drop("file", "bad")
+    kept = kept.na.drop() if drop_null else kept
     if max_date is not None:
-        rows = rows.filter(F.col("date_time") < F.lit(max_date).cast("timestamp_ntz"))
-    return with_endpoints(rows)
+        kept = kept.filter(F.col("date_time") < F.lit(max_date).cast("timestamp_ntz"))
+    return with_endpoints(kept), rejected
+
+
+def ingest_tiles(spark: SparkSession, path: str | list[str], max_date: str | None = None, drop_null: bool = False) -> DataFrame:
+    """Rows of the tile files that pass `checked_tiles`."""
+    return checked_tiles(spark, path, max_date, drop_null)[0]
 
 
 def empty_population(spark: SparkSession) -> DataFrame:

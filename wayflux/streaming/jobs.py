@@ -26,7 +26,8 @@ def located_tiles(stream: DataFrame) -> DataFrame:
 
 
 def daily_flow_totals(stream: DataFrame, late: str = "2 days") -> DataFrame:
-    """Flow per rounded day and pair of areas; a day is emitted once the watermark passed it.
+    """Flow per rounded day and pair of areas. In append mode a day is emitted once the watermark passed it, in update
+    mode with every batch that changes it.
 
     The window starts at noon of the day before, which is what rounding to the day means.
     """
@@ -73,6 +74,12 @@ def read_days(spark: SparkSession, path: str, keys: list[str], sums: list[str])
     return spark.read.parquet(path).groupBy(*keys).agg(*(F.sum(c).alias(c) for c in sums))
 
 
+def read_latest(spark: SparkSession, path: str, keys: list[str], values: list[str], batch: str = "batch") -> DataFrame:
+    """What `upsert_days` stored of a stream in update mode: the values of the last batch per key."""
+    last = F.max_by(F.struct(*values), batch).alias("_v")
+    return spark.read.parquet(path).groupBy(*keys).agg(last).select(*keys, *(F.col(f"_v.{v}").alias(v) for v in values))
+
+
 class FirstCase(StatefulProcessor):
     """Emits an area with the first day it reports a case, and again when an earlier day arrives."""
 
