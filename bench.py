@@ -18,7 +18,7 @@ from wayflux.session import local_session  # noqa: E402
 HEADLINES = [
     "flow_alerts", "daily_graph_nodes", "daily_graph_edges", "graph_values", "movement_statistics", "neighbour_case_totals", "cases_in_areas",
     "flows_between_areas", "nearest_centre", "smoothed_cases", "forecast_features", "onset_counts", "renewal_rt", "case_windows", "change_maps",
-    "attributes_by_rule", "best_tenth_per_hour", "prices_without_outliers", "top_brands_and_others", "weekday_weekend_flows", "personalised_rank",
+    "attributes_by_rule", "best_tenth_per_hour", "lines_ranked", "prices_without_outliers", "top_brands_and_others", "weekday_weekend_flows", "personalised_rank",
     "ridge_summary", "rt_by_area", "ranges_for_areas",
 ]
 

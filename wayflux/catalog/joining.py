@@ -82,7 +82,7 @@ def _(t):
     return joins.remap_flows(t.movement, t.community_map, "poly_id", "community_id")
 
 
-@query("calendar_of_cases", "SELECT date_time, poly_id, num_cases FROM dense_cases", d="date_time", covers="C16 H5")
+@query("calendar_of_cases", "SELECT date_time, poly_id, num_cases FROM dense_cases", d="date_time", covers="C16 H5 D19")
 def _(t):
     c = t.cases.select("date_time", "poly_id", "num_cases")
     return joins.densify(c, c, "poly_id", ["num_cases"]).select("date_time", "poly_id", "num_cases")
