@@ -305,3 +305,20 @@ def test_pipeline_stages_against_their_operators(spark):
         assert set(clash.columns) <= set(stage(spark, clash, root).columns)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), root).count() == 0
+
+
+def test_fit_gets_small_numbers_in_the_order_of_ids(spark, monkeypatch):
+    rows = [(i * 7919 % 101, f"word{i} word{i % 3} " * (i % 5)) for i in range(101)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sample = df.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("label"))
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda idx, x, bounds, y, *rest: seen.update(idx=idx, x=x, bounds=bounds, y=y))
+    quality.train(df, sample)
+    assert seen["idx"].itemsize == seen["x"].itemsize == 4
+    assert seen["y"].tolist() == [i % 2 for i in range(101)]
+    text = dict(rows)
+    for i in range(101):
+        data = np.frombuffer(text[i].encode(), np.uint8)
+        idx, x, _ = quality.features(data, np.array([0, len(data)]), [])
+        own = slice(seen["bounds"][i], seen["bounds"][i + 1])
+        assert seen["idx"][own].tolist() == idx.tolist() and seen["x"][own].tolist() == x.astype(np.float32).tolist()

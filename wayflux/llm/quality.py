@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayflux.llm.common import add_column, label_sample
+from wayflux.llm.common import add_column, label_sample, release
 from wayflux.llm.sparse import Model, fit
 from wayflux.llm.tokens import NOT_NEWLINE, per_row, row_blocks, utf8, words
 
@@ -108,12 +109,26 @@ def train(docs: DataFrame, sample: DataFrame, text: str = "text", meta: tuple[st
         return run
 
     rows = docs.select(id_col, text, *meta).join(F.broadcast(sample), id_col)
-    got = add_column(rows, "_f", kind, make, (text, *meta)).select(id_col, "label", "_f").toArrow().sort_by(id_col)
-    sizes = np.array([len(f) // 2 for f in got["_f"]], np.int64)
-    lists = [np.array(f.values) for f in got["_f"]]
-    idx = np.concatenate([f[: len(f) // 2] for f in lists]).astype(np.int64) if lists else np.zeros(0, np.int64)
-    x = np.concatenate([f[len(f) // 2 :] for f in lists]).astype(np.float64) if lists else np.zeros(0)
-    return fit(idx, x, np.concatenate([[0], np.cumsum(sizes)]), got["label"].to_numpy().astype(float), width(len(meta)), rank)
+    got = add_column(rows, "_f", kind, make, (text, *meta)).select(id_col, "label", "_f").toArrow()
+    order = pa.compute.sort_indices(got[id_col]).to_numpy()
+    label = got["label"].to_numpy().astype(float)[order]
+    sizes = pa.compute.list_value_length(got["_f"]).to_numpy().astype(np.int64) // 2
+    bounds = np.concatenate([[0], np.cumsum(sizes[order])])
+    place = np.empty(len(order), np.int64)  # where a row's features go
+    place[order] = bounds[:-1]
+    idx, x, row = np.empty(bounds[-1], np.int32), np.empty(bounds[-1], np.float32), 0
+    for chunk in got["_f"].chunks:
+        flat, at = chunk.flatten().to_numpy(), 0
+        for to, n in zip(place[row : row + len(chunk)].tolist(), sizes[row : row + len(chunk)].tolist(), strict=True):
+            idx[to : to + n], x[to : to + n] = flat[at : at + n], flat[at + n : at + 2 * n]
+            at += 2 * n
+        row += len(chunk)
+    got = flat = chunk = None  # this is the driver, whose memory is small
+    release()
+    model = fit(idx, x, bounds, label, width(len(meta)), rank)
+    idx = x = None
+    release()
+    return model
 
 
 def score(docs: DataFrame, model: Model, into: str = "quality", text: str = "text", meta: tuple[str, ...] = (), drop: tuple[str, ...] = ()) -> DataFrame:

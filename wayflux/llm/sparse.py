@@ -60,7 +60,7 @@ def fit(idx: np.ndarray, x: np.ndarray, bounds: np.ndarray, y: np.ndarray, size:
             m = sizes[rows]
             at = np.repeat(bounds[rows] - (np.cumsum(m) - m), m) + np.arange(m.sum())
             own = np.concatenate([[0], np.cumsum(m)])
-            i, xs = idx[at], x[at]
+            i, xs = idx[at], x[at].astype(np.float64, copy=False)
             model = Model(bias, w, v)
             g = (sigmoid(model.margin(i, xs, own)) - y[rows]) / len(rows)
             bias_sq += g.sum() ** 2
