@@ -240,3 +240,12 @@ def test_shingles_of_blocks_of_few_words():
             for bounds in ([0, len(raw)], [0, 0, len(raw), len(raw)]):
                 _, _, h, rows = tokens.words(raw, np.array(bounds))
                 assert [len(x) for x in tokens.shingles(h, rows, n)] == [min(1, size) if b > a else 0 for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def test_components_without_links_take_no_rounds(spark, monkeypatch):
+    stages, kept = jaccard.Stages(spark, "test"), []
+    keep = stages.keep
+    monkeypatch.setattr(stages, "keep", lambda df, name: kept.append(name) or keep(df, name))
+    links = spark.createDataFrame([], "a long, b long")
+    assert jaccard.components(links, stages, "none").count() == 0 and len(kept) == 2
+    assert sorted(jaccard.components(spark.createDataFrame([(1, 2), (2, 5)], "a long, b long"), stages, "some").collect()) == [(1, 1), (2, 1), (5, 1)]

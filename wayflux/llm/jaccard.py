@@ -11,6 +11,7 @@ Sets that meet are compared token by token.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,28 +52,44 @@ class Bands:
         return self.differ(top, top * 100 // self.percent) + 1
 
 
+_HALF, _KEY = np.uint64(32), np.uint64((1 << 61) - 1)
+_PLACES = 1 << 14  # segments whose places are kept
+
+
+@lru_cache(maxsize=128)
+def _places(band: int, m: int) -> np.ndarray:
+    """A hash of each segment of a band."""
+    return mix(np.uint64(band << 32) + np.arange(m, dtype=np.uint64), 3)
+
+
 class Parts:
-    """The segments of one set in one band: keys, sizes, and the one-deletion keys of its first segments."""
+    """The segments of one set in one band: keys, sizes, and the one-deletion keys of its first segments.
 
-    def __init__(self, tokens: np.ndarray, band: int, m: int):
-        seg = ((mix(tokens, 2 * band + 1) >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-        order = np.argsort(seg, kind="stable")
-        self.seg, self.value = seg[order], mix(tokens, 0)[order]
-        at = np.searchsorted(self.seg, np.arange(m + 1, dtype=np.uint64))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.value)])
-        self.at, self.sum, self.size, self.band = at, sums[at[1:]] - sums[at[:-1]], np.diff(at), band
-        self.key = self._key(self.sum, self.size, np.arange(m))
+    `value` is `mix(tokens, 0)`, which is the same for all bands.
+    """
 
-    def _key(self, total: np.ndarray, size: np.ndarray, seg: np.ndarray) -> np.ndarray:
-        place = np.uint64(self.band << 32) + seg.astype(np.uint64)
-        return mix(total + mix(place, 3) + size.astype(np.uint64), 4) & np.uint64((1 << 61) - 1)
+    def __init__(self, tokens: np.ndarray, band: int, m: int, value: np.ndarray):
+        seg = ((mix(tokens, 2 * band + 1) >> _HALF) * np.uint64(m)) >> _HALF
+        order = np.argsort(seg.astype(np.uint16) if m <= 1 << 16 else seg, kind="stable")
+        self.value = value[order]
+        at = np.zeros(m + 1, np.int64)
+        np.cumsum(np.bincount(seg.astype(np.int64), minlength=m), out=at[1:])
+        sums = np.zeros(len(tokens) + 1, np.uint64)
+        np.cumsum(self.value, out=sums[1:])
+        ends = sums[at]
+        self.at, self.sum, self.size = at, ends[1:] - ends[:-1], at[1:] - at[:-1]
+        self.place = _places(band, m) if m <= _PLACES else _places.__wrapped__(band, m)
+        self.key = self._key(self.sum, self.size, self.place)
+
+    def _key(self, total: np.ndarray, size: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return mix(total + place + size.astype(np.uint64), 4) & _KEY
 
     def without_one(self, segs: np.ndarray) -> np.ndarray:
         if not len(segs):
             return np.zeros(0, np.uint64)
         each = np.concatenate([np.arange(self.at[s], self.at[s + 1]) for s in segs])
         seg = np.repeat(segs, self.size[segs])
-        return self._key(self.sum[seg] - self.value[each], self.size[seg] - 1, seg)
+        return self._key(self.sum[seg] - self.value[each], self.size[seg] - 1, self.place[seg])
 
 
 def deletable(m: int) -> int:
@@ -101,14 +118,14 @@ def index_rows(tokens: np.ndarray, bands: Bands, held: np.ndarray) -> np.ndarray
     n = len(tokens)
     if n == 0:
         return np.zeros(0, np.uint64)
-    b, out = bands.of(n), []
+    b, value, out = bands.of(n), mix(tokens, 0), []
 
     def put(keys: np.ndarray, what) -> None:
         out.append((keys << np.uint64(3)) | np.asarray(what, np.uint64))
 
     m = bands.segments(b)
     if m > 1:
-        own = Parts(tokens, b, m)
+        own = Parts(tokens, b, m, value)
         ask, less = allocate(own, bands.differ(n, n) + 1, held)
         what = np.full(m, EXACT_HELD)
         what[ask] = EXACT_BOTH
@@ -117,7 +134,7 @@ def index_rows(tokens: np.ndarray, bands: Bands, held: np.ndarray) -> np.ndarray
         put(own.without_one(np.setdiff1d(first, less)), LESS_HELD)
         put(own.without_one(less), LESS_BOTH)
     if b and (m := bands.segments(b - 1)) > 1 and bands.high[b - 1] * 100 >= bands.percent * n:
-        low = Parts(tokens, b - 1, m)
+        low = Parts(tokens, b - 1, m, value)
         ask, less = allocate(low, bands.differ(n, bands.high[b - 1]) + 1, held)
         put(low.key[ask], EXACT_ASKED)
         put(low.without_one(less), LESS_ASKED)
@@ -168,7 +185,7 @@ def describe(rows: DataFrame, n: int, percent: int) -> DataFrame:
                     outlines[k] = outline(tokens)
                     band = bands.of(len(tokens))
                     if (m := bands.segments(band)) > 1:
-                        slot = (Parts(tokens, band, m).key >> np.uint64(61 - SKETCH_BITS)).astype(np.int64)
+                        slot = (Parts(tokens, band, m, mix(tokens, 0)).key >> np.uint64(61 - SKETCH_BITS)).astype(np.int64)
                         np.add.at(counts, slot, 1)
                         keys += m
             yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("version"), pa.array(size), pa.array(c1), pa.array(c2), pa.array(outlines, pa.binary())], names=["doc", "version", "n", "c1", "c2", "outline"])
@@ -359,6 +376,8 @@ def components(links: DataFrame, stages: Stages, name: str) -> DataFrame:
     both = stages.keep(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-arcs")
     label = stages.keep(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("comp")), f"{name}-0")
     total, k = None, 0
+    if both.isEmpty():
+        return label
     while True:
         now = label.agg(F.sum(F.col("comp").cast("decimal(38,0)"))).first()[0]
         if now == total:
