@@ -185,7 +185,7 @@ def _(t):
 
 @query("radial_flows", covers="J1 C8")
 def _(t):
-    tiles = located_tiles(t).withColumn("date_time", F.col("date_time").cast("date"))
+    tiles = located_tiles(t).withColumn("date_time", F.col("date_time").cast("date")).drop("geometry")
     out = agglomerate.by_radius(located_cases(t), t.polygons, tiles, None, 30.0)["movement"]
     return out.groupBy("date_time", "start_poly_id", "end_poly_id").agg(F.sum("n_crisis").alias("movement"))
 

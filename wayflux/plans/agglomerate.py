@@ -38,9 +38,10 @@ def flows_by_geometry(tiles: DataFrame, areas: DataFrame, known: DataFrame | Non
     check_geometry(areas)
     ringed = spatial.with_rings(areas)
     ends = ["start_movement_lon", "start_movement_lat", "end_movement_lon", "end_movement_lat"]
-    daily = tiles.groupBy(dates.round_to_day(F.col("date_time")).alias("date_time"), *ends).agg(F.sum("n_crisis").alias("movement"))
+    # kept, as the joins read them several times and the ends may come from texts
+    daily = cut_lineage(tiles.groupBy(dates.round_to_day(F.col("date_time")).alias("date_time"), *ends).agg(F.sum("n_crisis").alias("movement")))
     a = spatial.points_in_areas(daily, ringed, ends[0], ends[1], ["poly_id"], size).withColumnRenamed("poly_id", "start_poly_id")
-    a = a.groupBy("date_time", "start_poly_id", *ends[2:]).agg(F.sum("movement").alias("movement"))
+    a = cut_lineage(a.groupBy("date_time", "start_poly_id", *ends[2:]).agg(F.sum("movement").alias("movement")))
     b = spatial.points_in_areas(a, ringed, ends[2], ends[3], ["poly_id"], size).withColumnRenamed("poly_id", "end_poly_id")
     out = b.groupBy("date_time", "start_poly_id", "end_poly_id").agg(F.sum("movement").alias("movement"))
     return out if known is None else joins.known_flows(out, known)
@@ -158,7 +159,7 @@ def by_radius(cases: DataFrame, areas: DataFrame, tiles: DataFrame | None, popul
     cols = ["poly_id", "poly_name", "poly_lon", "poly_lat", "poly_distance", "poly_merged"]
     out["cases"] = cases.join(assigned.select("location", "lon", "lat", *cols), ["location", "lon", "lat"])
     if tiles is not None:
-        moved = tiles
+        moved = cut_lineage(tiles)  # read by both sides, and its ends may come from texts
         for side in ("start", "end"):
             lon, lat = f"{side}_movement_lon", f"{side}_movement_lat"
             spots = spatial.nearest_within(moved.select(F.col(lon).alias("lon"), F.col(lat).alias("lat")), polygons, radius_km)
