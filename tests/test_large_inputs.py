@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from wayflux import schema
 from wayflux.plans import agglomerate
 from wayflux.sources import files, testdata
 
@@ -27,3 +28,18 @@ def test_tile_texts_are_read_once(spark, tmp_path):
     moved = agglomerate.by_radius(cases, areas, tiles, None, 10.0)["movement"]
     assert not any("tiles" in f for f in moved.inputFiles())
     assert sorted((r["start_poly_id"], r["end_poly_id"], r["n_crisis"]) for r in moved.collect()) == [("a", "b", 2.0), ("b", "a", 3.0)]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_lines_of_a_file_are_not_shuffled_by_file(spark, tmp_path):
+    names = [c.strip().split(" ")[0] for c in schema.MOVEMENT_TILES.split(",")]
+    row = {"geometry": '"LINESTRING (0 0, 1 1)"', "date_time": "2024-01-01 0800", "n_crisis": "2"}
+    for k, odd in enumerate(("2", "x")):
+        lines = [",".join(names), *(",".join({**row, "n_crisis": odd}.get(n, "1") for n in names) for _ in range(3))]
+        (tmp_path / f"{k}.csv").write_text("\n".join(lines) + "\n")
+    ok, rejected = files.checked_tiles(spark, str(tmp_path))
+    assert "SortMergeJoin" not in _plan(ok) and _plan(ok).count("BroadcastHashJoin") == 3
+    assert ok.count() == 3 and [(r["reason"], r["bad_rows"]) for r in rejected.collect()] == [("rows", 3)]

@@ -62,8 +62,15 @@ def _tiles_by_weekday(t):
     src = t.tiles.withColumn("weekday", F.dayofweek("date_time"))
     broken = (F.col("weekday") == 2) & (F.col("n_crisis") > 50)
     src = src.withColumn("n_crisis", F.when(broken, F.lit("x")).otherwise(F.col("n_crisis").cast("string"))).withColumn("date_time", F.date_format("date_time", "yyyy-MM-dd HHmm"))
-    full = src.select(*[F.col(n) if n in src.columns else F.lit("1").alias(n) for n, _ in cols], "weekday")
-    full.repartition("weekday").write.mode("overwrite").option("header", True).partitionBy("weekday").csv(path)
+    dealt = src.repartition("weekday")
+    full = dealt.select(*[F.col(n) if n in src.columns else F.lit("1").alias(n) for n, _ in cols], "weekday")
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    prev = t.spark.conf.get(writers)
+    t.spark.conf.set(writers, "7")  # a file open per weekday, instead of a sort of all rows
+    try:
+        full.write.mode("overwrite").option("header", True).partitionBy("weekday").csv(path)
+    finally:
+        t.spark.conf.set(writers, prev)
     return [f"{path}/weekday={k}" for k in range(1, 8)]
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wayflux import schema
 from wayflux.functions import dates, geo
+from wayflux.operators import ranking
+from wayflux.session import cut_lineage
 
 
 def scan_csv(spark: SparkSession, path: str | list[str], ddl: str, encoding: str = "UTF-8", drop_null: bool = False) -> DataFrame:
@@ -40,11 +42,12 @@ def decoded_lines(spark: SparkSession, path: str | list[str], fallback: str = "I
     """(file, value): the lines of text files, each file read as UTF-8 if all of it is, else in the fallback encoding.
 
     The text source hands on a line's bytes as they are, so files are decoded in pieces, however long they are.
+    What is known of each file is one row, which goes to the lines; the lines stay where they are.
     """
     raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("raw"))
     plain = raw.groupBy("file").agg(F.bool_and(F.is_valid_utf8(F.col("raw").cast("string"))).alias("plain"))
     value = F.when(F.col("plain"), F.decode("raw", "UTF-8")).otherwise(F.decode("raw", fallback))
-    return raw.join(plain, "file").select("file", value.alias("value"))
+    return raw.join(ranking._small(cut_lineage(plain)), "file").select("file", value.alias("value"))
 
 
 def decoded_csv(spark: SparkSession, path: str | list[str], ddl: str, fallback: str = "ISO-8859-1") -> DataFrame:
@@ -62,9 +65,9 @@ def checked_tiles(spark: SparkSession, path: str | list[str], max_date: str | No
     types = dict(c.strip().split(" ") for c in schema.MOVEMENT_TILES.split(","))
     text = decoded_lines(spark, path).filter(F.trim("value") != "")
     is_header = F.col("value").contains("start_polygon_id") & F.col("value").contains("geometry")
-    heads = text.groupBy("file").agg(F.max(F.when(is_header, F.col("value"))).alias("head"), F.count("*").alias("lines"))
+    heads = cut_lineage(text.groupBy("file").agg(F.max(F.when(is_header, F.col("value"))).alias("head"), F.count("*").alias("lines")))
     fits = F.coalesce(F.array_sort(F.split("head", ",")) == F.array(*[F.lit(c) for c in sorted(cols)]), F.lit(False))
-    good = heads.filter(fits).select("file", "head")
+    good = ranking._small(heads.filter(fits).select("file", "head"))
 
     ddl = ", ".join(f"c{i} STRING" for i in range(len(cols))) + ", _torn STRING"  # _torn: a row with fields too many or too few
     cells = F.from_csv("value", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_torn"})
@@ -79,10 +82,10 @@ def checked_tiles(spark: SparkSession, path: str | list[str], max_date: str | No
     for c in cols:
         bad = bad | (cast(c).isNull() & (F.coalesce(F.trim(F.col("m")[c]), F.lit("")) != ""))
     rows = split.select("file", bad.alias("bad"), *(cast(c).alias(c) for c in cols))
-    wrong = rows.groupBy("file").agg(F.sum(F.col("bad").cast("long")).alias("bad_rows")).filter("bad_rows > 0")
+    wrong = cut_lineage(rows.groupBy("file").agg(F.sum(F.col("bad").cast("long")).alias("bad_rows")).filter("bad_rows > 0"))
     rejected = heads.filter(~fits).select("file", F.lit("columns").alias("reason"), (F.col("lines") - F.col("head").isNotNull().cast("int")).alias("bad_rows"))
     rejected = rejected.unionByName(wrong.select("file", F.lit("rows").alias("reason"), "bad_rows"))
-    kept = rows.join(wrong.select("file"), "file", "left_anti").drop("file", "bad")
+    kept = rows.join(ranking._small(wrong.select("file")), "file", "left_anti").drop("file", "bad")
     kept = kept.na.drop() if drop_null else kept
     if max_date is not None:
         kept = kept.filter(F.col("date_time") < F.lit(max_date).cast("timestamp_ntz"))
