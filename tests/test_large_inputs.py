@@ -1,10 +1,13 @@
 """What keeps a query in proportion to its input: read once, no rows of one file or group in one task."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from wayflux import schema
 from wayflux.plans import agglomerate
 from wayflux.sources import files, testdata
+from wayflux.streaming import jobs
 
 
 def _tiles(spark, path):
@@ -43,3 +46,24 @@ def test_lines_of_a_file_are_not_shuffled_by_file(spark, tmp_path):
     ok, rejected = files.checked_tiles(spark, str(tmp_path))
     assert "SortMergeJoin" not in _plan(ok) and _plan(ok).count("BroadcastHashJoin") == 3
     assert ok.count() == 3 and [(r["reason"], r["bad_rows"]) for r in rejected.collect()] == [("rows", 3)]
+
+
+def test_first_cases_are_kept_by_the_engine(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    ddl = "poly_id string, date_time string, num_cases double"
+    turns = [[("a", "2024-01-05", 1.0), ("b", "2024-01-04", 0.0)], [("a", "2024-01-07", 2.0), ("b", "2024-01-06", float("nan"))], [("a", "2024-01-02", 1.0), ("b", "2024-01-03", 1.0), ("b", "2024-01-01", None)]]
+    for rows in turns:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(path)
+    stream = jobs.first_case_alerts(jobs.stream_tiles(spark, path, ddl, "parquet", 1))
+    assert "TransformWithState" not in stream._jdf.queryExecution().analyzed().toString()
+    write = lambda batch, epoch: batch.write.mode("append").parquet(out)
+    stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    # an alert, no alert for a later day, and a correction
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("a", "2024-01-02"), ("a", "2024-01-05"), ("b", "2024-01-03")]
+
+
+def test_a_batch_writes_few_files_a_day(spark, tmp_path):
+    rows = spark.range(400).select(F.lit("2024-01-01").alias("date"), F.col("id").alias("k")).repartition(16)
+    jobs.upsert_days(str(tmp_path / "days"))(rows, 0)
+    written = [f for _, _, names in os.walk(tmp_path / "days") for f in names if f.endswith(".parquet")]
+    assert len(written) <= jobs.DAY_FILES and spark.read.parquet(str(tmp_path / "days")).count() == 400

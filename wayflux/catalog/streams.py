@@ -53,9 +53,9 @@ def _(t):
     SELECT CAST(date_trunc('hour', ts) + INTERVAL 12 HOUR AS DATE) AS date_time, CAST(event_id % 25 AS VARCHAR) AS start_poly_id, CAST(user_id % 25 AS VARCHAR) AS end_poly_id, sum(value) AS movement FROM events GROUP BY 1, 2, 3""", d="date_time", r="movement", covers="L2 L3")
 def _(t):
     """Update mode: every day is stored with the batches that change it, the last days too."""
-    src = _flow_source(t)[1]
+    files, src = _flow_source(t)
     path, sink = _fresh(t, "flow_turns"), _fresh(t, "flow_sink")
-    _in_turns(src, F.col("date_time"), path)
+    _in_turns(t.spark.read.parquet(files), F.col("date_time"), path)
     totals = jobs.daily_flow_totals(jobs.stream_tiles(t.spark, path, src.schema, "parquet", FILES))
     q = (
         totals.writeStream.foreachBatch(jobs.upsert_days(sink + "/out", "date_time")).outputMode("update")
@@ -85,9 +85,10 @@ def _(t):
 @query("streamed_without_repeats", "SELECT event_id, value AS movement FROM events", r="movement", covers="L4")
 def _(t):
     """Every tile arrives twice; a stretch of days per batch, in order, so that the watermark moves on."""
-    src = _flow_source(t)[1]
+    files, src = _flow_source(t)
     path, sink = _fresh(t, "twice_files"), _fresh(t, "once_sink")
-    _in_turns(src.union(src), F.col("date_time"), path)
+    once = t.spark.read.parquet(files)
+    _in_turns(once.union(once), F.col("date_time"), path)
     stream = jobs.without_repeats(jobs.stream_tiles(t.spark, path, src.schema, "parquet", FILES), ["event_id"])
     jobs.run_available(stream, sink + "/out", sink + "/state")
     return t.spark.read.parquet(sink + "/out").select("event_id", "movement")
@@ -115,7 +116,9 @@ def _(t):
     src = t.raw("events").groupBy(F.col("user_id").cast("string").alias("poly_id"), F.date_format("ts", "yyyy-MM-dd").alias("date_time")).agg(
         F.sum(F.when(F.col("value") > 20, 1.0).otherwise(0.0)).alias("num_cases")
     )
-    _in_turns(src, F.col("date_time"), path, falling=True)  # earlier days come later
+    whole = _fresh(t, "case_days")
+    src.write.parquet(whole)  # added up once, not in every turn
+    _in_turns(t.spark.read.parquet(whole), F.col("date_time"), path, falling=True)  # earlier days come later
     prev = t.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wayflux.functions.dates import wall_clock_instant
 from wayflux.sources.files import with_endpoints
 
 
+DAY_FILES = 2
+
+
 def stream_tiles(spark: SparkSession, path: str, ddl: str, fmt: str = "csv", files_per_trigger: int = 100) -> DataFrame:
     """New tile files as they arrive; files already read are remembered by the source."""
     reader = spark.readStream.schema(ddl).option("maxFilesPerTrigger", files_per_trigger)
@@ -58,12 +57,13 @@ def upsert_days(path: str, date: str = "date", batch: str = "batch"):
     """foreachBatch sink: each batch has its own partition of every day it holds.
 
     A day that comes in several batches keeps all of them, and a batch that is run again replaces only what
-    it wrote before. `read_days` puts the days together.
+    it wrote before. `read_days` puts the days together. A batch's rows of a day go to DAY_FILES files at most.
     """
 
     def write(rows: DataFrame, epoch: int) -> None:
+        own = F.pmod(F.xxhash64(*(c for c in rows.columns if c != date)), F.lit(DAY_FILES))
         (
-            rows.withColumn(batch, F.lit(epoch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date, batch).parquet(path)
+            rows.repartition(date, own).withColumn(batch, F.lit(epoch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date, batch).parquet(path)
         )
 
     return write
@@ -80,33 +80,17 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], values: list[st
     return spark.read.parquet(path).groupBy(*keys).agg(last).select(*keys, *(F.col(f"_v.{v}").alias(v) for v in values))
 
 
-class FirstCase(StatefulProcessor):
-    """Emits an area with the first day it reports a case, and again when an earlier day arrives."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "first_date string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = self.seen.get()[0] if self.seen.exists() else None
-        first = known
-        for pdf in rows:
-            hit = pdf.loc[pdf["num_cases"] > 0, "date_time"]
-            if len(hit):
-                day = str(hit.min())
-                first = day if first is None or day < first else first
-        if first != known:
-            self.seen.update((first,))
-            yield pd.DataFrame({"poly_id": [key[0]], "first_date": [first]})
-
-    def close(self) -> None:
-        pass
-
-
 def first_case_alerts(stream: DataFrame) -> DataFrame:
-    """Alerts and their corrections; the smallest date of an area is the one that holds."""
-    return stream.groupBy("poly_id").transformWithStateInPandas(
-        statefulProcessor=FirstCase(), outputStructType="poly_id string, first_date string", outputMode="Update", timeMode="None"
-    )
+    """An area with the first day it reports a case, and again when an earlier day arrives (update mode).
+
+    The smallest date of an area is the one that holds. The state is a date and the time of the batch that brought it,
+    merged before the shuffle; only what this batch brought is emitted.
+    """
+    cases = F.col("num_cases").cast("double")
+    hits = stream.filter((cases > 0) & ~F.isnan(cases) & F.col("date_time").isNotNull())
+    hits = hits.withColumn("at", F.current_timestamp())
+    first = F.min(F.struct(F.col("date_time").cast("string").alias("first_date"), "at")).alias("_f")
+    return hits.groupBy("poly_id").agg(first).filter(F.col("_f.at") == F.current_timestamp()).select("poly_id", "_f.first_date")
 
 
 def run_available(stream: DataFrame, sink: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> None:
