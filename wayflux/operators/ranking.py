@@ -68,6 +68,7 @@ def _parted(df: DataFrame, keys: list[str], sizes: DataFrame, rows_per_task: int
         return df, None
     if keys == ["_g"]:
         return None, df
+    large = _small(large)  # rows / rows_per_task at most: the rows of a few groups are not shuffled by group
     return df.join(large, keys, "left_anti"), df.join(large, keys, "left_semi")
 
 
