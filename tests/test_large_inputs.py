@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wayflux import schema
 from wayflux.operators import ranking
-from wayflux.plans import agglomerate
+from wayflux.plans import agglomerate, alerts
 from wayflux.sources import files, testdata
 from wayflux.streaming import jobs
 
@@ -49,6 +49,23 @@ def test_lines_of_a_file_are_not_shuffled_by_file(spark, tmp_path):
     assert ok.count() == 3 and [(r["reason"], r["bad_rows"]) for r in rejected.collect()] == [("rows", 3)]
 
 
+def test_rows_of_large_groups_are_not_shuffled_by_group(spark):
+    df = spark.range(3000).select((F.col("id") % 3).cast("string").alias("g"), (F.col("id") * 37 % 1009).cast("double").alias("s"), "id")
+    sizes = df.groupBy("g").agg(F.count("*").alias("_d"))
+    few, many = ranking._parted(df, ["g"], sizes, 100)
+    assert "SortMergeJoin" not in _plan(few) + _plan(many)
+    got = ranking.distributed_rank(df, ["g"], "s", "id", 100).collect()
+    for g in "012":
+        own = sorted((r for r in got if r["g"] == g), key=lambda r: (-r["s"], r["id"]))
+        assert [r["rank"] for r in own] == list(range(1, 1001)) and own[0]["n"] == 1000
+
+
+def test_estimates_are_made_once(spark, tmp_path):
+    spark.createDataFrame([("a", "2024-01-01", 1.0), ("a", "2024-01-09", 3.0)], "poly_id string, d string, ml double").withColumn("date_time", F.col("d").cast("date")).write.parquet(str(tmp_path / "rt"))
+    out = alerts.rt_alerts(spark.read.parquet(str(tmp_path / "rt")), 7)
+    assert out.inputFiles() == [] and out.first()["ml"] == 3.0
+
+
 def test_first_cases_are_kept_by_the_engine(spark, tmp_path):
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     ddl = "poly_id string, date_time string, num_cases double"
@@ -68,12 +85,3 @@ def test_a_batch_writes_few_files_a_day(spark, tmp_path):
     jobs.upsert_days(str(tmp_path / "days"))(rows, 0)
     written = [f for _, _, names in os.walk(tmp_path / "days") for f in names if f.endswith(".parquet")]
     assert len(written) <= jobs.DAY_FILES and spark.read.parquet(str(tmp_path / "days")).count() == 400
-def test_rows_of_large_groups_are_not_shuffled_by_group(spark):
-    df = spark.range(3000).select((F.col("id") % 3).cast("string").alias("g"), (F.col("id") * 37 % 1009).cast("double").alias("s"), "id")
-    sizes = df.groupBy("g").agg(F.count("*").alias("_d"))
-    few, many = ranking._parted(df, ["g"], sizes, 100)
-    assert "SortMergeJoin" not in _plan(few) + _plan(many)
-    got = ranking.distributed_rank(df, ["g"], "s", "id", 100).collect()
-    for g in "012":
-        own = sorted((r for r in got if r["g"] == g), key=lambda r: (-r["s"], r["id"]))
-        assert [r["rank"] for r in own] == list(range(1, 1001)) and own[0]["n"] == 1000

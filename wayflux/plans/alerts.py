@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wayflux.functions.vectors import binned, ratio
 from wayflux.operators import aggregates, joins, reshape, windows
+from wayflux.session import cut_lineage
 
 RED, YELLOW, GREEN, WHITE = "ROJO", "AMARILLO", "VERDE", "BLANCO"
 
@@ -88,6 +89,7 @@ def range_alerts(ranges: DataFrame, thresholds: DataFrame, days: int = 7) -> Dat
 
 
 def rt_alerts(rt: DataFrame, days: int = 7) -> DataFrame:
+    rt = cut_lineage(rt)  # estimated once
     last = rt.agg(F.date_sub(F.max("date_time"), days).alias("_first"))
     mean = rt.join(last, F.col("date_time") >= F.col("_first")).groupBy("poly_id").agg(F.avg("ml").alias("ml"))
     return mean.select(
