@@ -5,8 +5,8 @@ import os
 from pyspark.sql import functions as F
 
 from wayflux import schema
-from wayflux.operators import ranking
-from wayflux.plans import agglomerate, alerts
+from wayflux.operators import ranking, spatial
+from wayflux.plans import agglomerate, alerts, places
 from wayflux.sources import files, testdata
 from wayflux.streaming import jobs
 
@@ -85,3 +85,23 @@ def test_a_batch_writes_few_files_a_day(spark, tmp_path):
     jobs.upsert_days(str(tmp_path / "days"))(rows, 0)
     written = [f for _, _, names in os.walk(tmp_path / "days") for f in names if f.endswith(".parquet")]
     assert len(written) <= jobs.DAY_FILES and spark.read.parquet(str(tmp_path / "days")).count() == 400
+
+
+def test_places_merge_in_turns_as_in_one_pass(spark, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.randrange(-(1 << 62), 1 << 62), 0.01 * rng.random(), 0.01 * rng.random(), float(k)) for k in range(400)]
+    monkeypatch.setattr(places, "FIRST_TURN", 20)
+    met = []
+    heads = places.greedy_heads
+    monkeypatch.setattr(places, "greedy_heads", lambda nodes, pairs: met.append(pairs.count()) or heads(nodes, pairs))
+    df = spark.createDataFrame(rows, "id long, lon double, lat double, total double")
+    got = {r["id"]: (r["total"], r["n_places"]) for r in places.merge_places(df, 100.0).collect()}
+    near = {tuple(r) for r in spatial.close_pairs(df, "id", 0.2).collect()}
+    want, total = {}, {r[0]: r[3] for r in rows}
+    for i in sorted(total):
+        if not any((i, h) in near for h in want):
+            own = [i, *(b for a, b in near if a == i)]
+            want[i] = (sum(total[b] for b in own), len(own))
+    assert got == want and len(met) > 1 and sum(met) < len(near) / 4

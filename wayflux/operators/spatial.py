@@ -276,8 +276,8 @@ def areas_on_line(areas: DataFrame, lines: DataFrame, key: str, size: float, buf
     )
 
 
-def close_pairs(places: DataFrame, key: str, reach_km: float) -> DataFrame:
-    """Pairs of places no farther apart than `reach_km`, both directions, self left out.
+def close_pairs(places: DataFrame, key: str, reach_km: float, others: DataFrame | None = None) -> DataFrame:
+    """Pairs of places no farther apart than `reach_km`, both directions, self left out; with `others`, b is one of those.
 
     A place is keyed by one cell and probes the nine around it, so each pair is met once.
     Cells are narrowed with latitude so that one step always covers the reach.
@@ -291,7 +291,8 @@ def close_pairs(places: DataFrame, key: str, reach_km: float) -> DataFrame:
 
     base = places.select(key, "lon", "lat").withColumn("cy", band)
     home = base.withColumn("cx", F.floor(F.col("lon") / lon_step(F.col("cy"))))
-    probe = base.select(F.col(key).alias("_k2"), F.col("lon").alias("_lon2"), F.col("lat").alias("_lat2"), F.col("cy").alias("_cy"))
+    there = base if others is None else others.select(key, "lon", "lat").withColumn("cy", band)
+    probe = there.select(F.col(key).alias("_k2"), F.col("lon").alias("_lon2"), F.col("lat").alias("_lat2"), F.col("cy").alias("_cy"))
     probe = probe.withColumn("cy", F.explode(F.array(F.col("_cy") - 1, F.col("_cy"), F.col("_cy") + 1)))
     at = F.floor(F.col("_lon2") / lon_step(F.col("cy")))
     probe = probe.withColumn("cx", F.explode(F.array(at - 1, at, at + 1)))

@@ -84,16 +84,46 @@ def rolling_top_places(places: DataFrame, days: int = 15, n: int = 10) -> DataFr
     return ranking.distributed_rank(keyed, ["window_start"], "total", "_tie").filter(F.col("rank") <= n).drop("_tie", "n")
 
 
+FIRST_TURN = 10_000  # places of the first turn of a merge
+
+
+def _heads_in_turns(p: DataFrame, reach_km: float) -> DataFrame:
+    """The heads of `greedy_heads` (id, lon, lat), found stretch by stretch of the list.
+
+    Each turn takes the next stretch of what earlier heads do not cover, twice as many places as the turn before, and
+    pairs those with each other only. Every place is taken or covered in the end, as in one pass.
+    """
+    todo, heads, size = p.select("id", "lon", "lat"), None, FIRST_TURN
+    n = todo.count()
+    while heads is None or n:
+        turn, rest = todo, None
+        if n > size:
+            last = todo.agg(F.percentile_approx("id", size / n, 10_000)).first()[0]  # any place will do
+            turn, rest = todo.filter(F.col("id") <= last), todo.filter(F.col("id") > last)
+        pairs = cut_lineage(spatial.close_pairs(turn, "id", reach_km).select("a", "b"))
+        found = greedy_heads(turn.select("id", F.col("id").alias("ord")), pairs)
+        new = cut_lineage(turn.join(found, "id", "left_semi"))
+        heads = new if heads is None else heads.unionByName(new)
+        if rest is None:
+            return heads
+        covered = spatial.close_pairs(rest, "id", reach_km, new).select(F.col("a").alias("id")).distinct()
+        todo = cut_lineage(rest.join(covered, "id", "left_anti"))
+        n, size = todo.count(), 2 * size
+    return heads
+
+
 def merge_places(places: DataFrame, radius_m: float = 200.0) -> DataFrame:
     """Places whose circles overlap, merged around the earlier one of the list, totals summed.
 
-    places(id, lon, lat, total); the list order is `id`. A place absorbed by an earlier head
+    places(id, lon, lat, total); the list order is `id`, a number. A place absorbed by an earlier head
     starts no group of its own; it counts in every head it overlaps, as the sequential pass does.
+    Only pairs of a stretch of the list, and of heads and places, are met: heads lie apart, so those grow with the places.
     """
+    reach = 2 * radius_m / 1000.0
     p = cut_lineage(places.select("id", "lon", "lat", "total"))
-    pairs = cut_lineage(spatial.close_pairs(p, "id", 2 * radius_m / 1000.0))
-    heads = greedy_heads(p.select("id", F.col("id").alias("ord")), pairs)
-    members = pairs.join(heads.withColumnRenamed("id", "a"), "a", "left_semi").unionByName(heads.select(F.col("id").alias("a"), F.col("id").alias("b")))
+    heads = cut_lineage(_heads_in_turns(p, reach))
+    pairs = spatial.close_pairs(p, "id", reach, heads).select(F.col("b").alias("a"), F.col("a").alias("b"))
+    members = pairs.unionByName(heads.select(F.col("id").alias("a"), F.col("id").alias("b")))
     return (
         members.join(p.select(F.col("id").alias("b"), "lon", "lat", "total"), "b")
         .groupBy(F.col("a").alias("id"))
